@@ -47,9 +47,10 @@ class LineIndex:
         if len(runs) == 1:
             return runs[0]
         one = runs[0][1]
-        for _, r in runs[1:]:
-            one = one.unionByName(r)
-        out = self._write(one.groupBy(*HASH).agg(F.sum("n").alias("n"), F.max("keeper").alias("keeper")))
+        for _, run in runs[1:]:  # both sides are bucketed and sorted by hash: a merge without a shuffle
+            other = run.select(*HASH, F.col("n").alias("n2"), F.col("keeper").alias("keeper2"))
+            one = one.hint("merge").join(other, HASH, "full").select(*HASH, (F.coalesce("n", F.lit(0)) + F.coalesce("n2", F.lit(0))).alias("n"), F.greatest("keeper", "keeper2").alias("keeper"))
+        out = self._write(one)
         for name, _ in runs:
             self.scratch.drop(name)
         return out
