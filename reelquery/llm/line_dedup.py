@@ -77,11 +77,14 @@ class LineIndex:
         return self.levels[0][0][1]
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
-    """One row a document: id, n_lines, n_dropped, text (the lines that stay, joined by line feeds)."""
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES, carry: bool = False) -> DataFrame:
+    """One row a document: id, n_lines, n_dropped, text (the lines that stay, joined by line feeds).
+
+    With carry, the columns of docs instead, in their order, and the new text in place of the old.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(id_col).alias("own"), F.col(text_col).alias("text"))
+    d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), (F.struct(*docs.columns) if carry else F.struct(id_col)).alias("own"), F.col(text_col).alias("text"))
     hashes = lambda: F.transform(_lines("text"), _hashed)
 
     def _hashed(line: Column) -> Column:
@@ -102,4 +105,6 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     drops = lines.join(frequent, HASH).where("id <> keeper").groupBy("id").agg(F.collect_set("h1").alias("drop"))
     kept = F.filter(_lines("text"), lambda x: ~F.coalesce(F.array_contains(F.col("drop"), _hashed(x)["h1"]), F.lit(False)))
     out = d.join(drops, "id", "left").select("own", "text", F.when(F.col("drop").isNull(), _lines("text")).otherwise(kept).alias("kept"))
-    return out.select(F.col("own").alias(id_col), F.size(_lines("text")).cast("long").alias("n_lines"), (F.size(_lines("text")) - F.size("kept")).cast("long").alias("n_dropped"), F.array_join("kept", "\n").alias("text"))
+    if carry:
+        return out.select(*[(F.array_join("kept", "\n") if c == text_col else F.col("own")[c]).alias(c) for c in docs.columns])
+    return out.select(F.col("own")[id_col].alias(id_col), F.size(_lines("text")).cast("long").alias("n_lines"), (F.size(_lines("text")) - F.size("kept")).cast("long").alias("n_dropped"), F.array_join("kept", "\n").alias("text"))

@@ -15,6 +15,8 @@ needs no padding and keeps its length; all others are padded to max_len (padded_
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -36,23 +38,74 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class WordIds:
+    """Packed ids of words (ASCII white space apart), each tokenised once while it is kept.
+
+    The tokenizer never looks across white space. Letters-only words are tokenised many at a time, as each ends
+    with a token that ends a word; where the numbers don't agree, and for other words, one by one. Of a word
+    with one punctuation mark after a letter, both parts are looked up. When full, only words that were met again stay.
+    """
+
+    def __init__(self, path: str, most: int = 700_000):
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tok.get_vocab_size() + 1, bool)
+        for token, k in self.tok.get_vocab().items():
+            self.ends[k] = token.endswith("</w>")
+        self.known: dict[bytes, bytes] = {}
+        self.again: set[bytes] = set()
+        self.most = most
+
+    def learn(self, words: set[bytes]) -> None:
+        known = self.known
+        if len(known) > self.most:
+            self.known = known = {w: known[w] for w in self.again if w in known} if len(self.again) < self.most // 2 else {}
+            self.again = set()
+        new = words.difference(known)
+        self.again.update(words)
+        self.again.difference_update(new)
+        marked = [w for w in new if w[-1] in b",.;:!?" and len(w) > 1 and 97 <= w[-2] <= 122]
+        new.difference_update(marked)
+        new.update({x for w in marked for x in (w[:-1], w[-1:])}.difference(known))
+        plain, other = [], []
+        for w in new:
+            (plain if w.isalpha() or w.decode().isalpha() else other).append(w)
+        for k in range(0, len(plain), 200):
+            part = plain[k : k + 200]
+            ids = np.array(self.tok.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(part):
+                other += part
+                continue
+            packed, start = ids.tobytes(), 0
+            for w, stop in zip(part, (4 * cuts).tolist(), strict=True):
+                known[w] = packed[start:stop]
+                start = stop
+        for k in range(0, len(other), 10_000):
+            part = other[k : k + 10_000]
+            for w, e in zip(part, self.tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
+                known[w] = np.array(e.ids, "<u4").tobytes()
+        for w in marked:
+            known[w] = known[w[:-1]] + known[w[-1:]]
+
+
+def worker_ids(path: str) -> WordIds:
+    """Kept between the tasks of a Python worker."""
+    kept = sys.modules.setdefault("_reelquery_kept", types.ModuleType("_reelquery_kept"))
+    name = f"ids:{path}"
+    if name not in kept.__dict__:
+        kept.__dict__[name] = WordIds(path)
+    return kept.__dict__[name]
+
+
 def piece_maker(path: str, max_len: int, end_id: int):
     """Makes the function from texts to pieces; ids stay packed as little-endian 32-bit numbers."""
 
     def make():
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(path)
-        known: dict[bytes, bytes] = {}
+        words_ids = worker_ids(path)
         end = np.array([end_id], "<u4").tobytes()
 
-        def learn(words: set[bytes]) -> None:
-            new = [w for w in words if w not in known]
-            for k in range(0, len(new), 20_000):
-                part = new[k : k + 20_000]
-                for w, e in zip(part, tok.encode_batch([w.decode() for w in part], add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, "<u4").tobytes()
-
         def work(cols: dict) -> dict:
             out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
             for k in range(0, len(cols["text"]), 500):  # so that few words are held at once
@@ -60,11 +113,10 @@ def piece_maker(path: str, max_len: int, end_id: int):
                 for text in cols["text"][k : k + 500]:
                     raw = (text or "").encode()
                     split.append((raw if b"<|" in raw else raw.lower()).split())
-                if len(known) > 600_000:
-                    known.clear()
-                learn(set().union(*split))
+                words_ids.learn(set().union(*split))
+                packed = words_ids.known
                 for doc_id, words in zip(cols["doc_id"][k : k + 500], split, strict=True):
-                    ids = b"".join(map(known.__getitem__, words)) + end
+                    ids = b"".join(map(packed.__getitem__, words)) + end
                     n = len(ids) // 4
                     for at in range(0, n, max_len):
                         piece = ids[at * 4 : (at + max_len) * 4]
