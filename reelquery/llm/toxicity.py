@@ -1,12 +1,13 @@
 """Operator 2: toxicity by Levenshtein automata over a lexicon trie, with context windows.
 
-The lexicon is learned from a bounded sample of labelled documents (``SAMPLE`` a class, outside the
-held-out fold): words that occur in toxic documents in many different contexts and hardly in others.
+The lexicon is learned from a bounded sample of labelled documents (``SAMPLE`` toxic ones and ``CLEAN`` times
+as many others, outside the held-out fold): words that occur in toxic documents in many different contexts and hardly in others.
 Counting contexts (neighbouring words), not documents, keeps the words of copied documents out.
 
 The lexicon's trie is intersected with the Levenshtein automaton of each term (one edit for terms of
 ``FUZZY_FROM`` letters or more): a state is the set of (trie node, edits) pairs alive, made when first
-reached. Most words leave the automaton after a few letters, so misspelled terms cost little to find.
+reached. Most words leave the automaton after a few letters, so misspelled terms cost little to find. Words of
+the sample's clean documents are words of their own, not misspellings.
 
 Each hit has a weight (less for misspelled ones). Its context window tells quotation from abuse: a
 hit between quotation marks counts ``QUOTED`` of its weight, unless other hits stand near it outside
@@ -29,9 +30,11 @@ from .common import Memo, fold, in_batches
 
 SAMPLE, HELD_OUT, THRESHOLD = 3_000, 2, 0.3
 #: A term occurs in so many contexts at least, and in a larger sample in this share of toxic documents.
-MIN_CONTEXTS, MIN_SHARE, MIN_RATIO, MOST_TERMS = 3, 0.004, 20.0, 5_000
+MIN_CONTEXTS, MIN_SHARE, MIN_RATIO, MOST_TERMS = 3, 0.012, 20.0, 5_000
+#: So many clean documents for each toxic one are sampled.
+CLEAN = 4
 FUZZY_FROM = 5
-EXACT, FUZZY, QUOTED, WINDOW = 0.45, 0.15, 0.25, 60
+EXACT, FUZZY, QUOTED, WINDOW = 0.45, 0.2, 0.25, 60
 WORD = re.compile(r"[^\W_]+")
 #: Opening and closing quotation marks.
 QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "‹": "›"}
@@ -113,8 +116,8 @@ class Lexicon:
         return min(found) if found else None
 
 
-def learn(rows: list[tuple[str, int]]) -> list[str]:
-    """The lexicon from (text, toxic) rows."""
+def learn(rows: list[tuple[str, int]]) -> tuple[list[str], list[str]]:
+    """The lexicon from (text, toxic) rows; and words of clean rows that are one edit from a term, so no misspellings."""
     contexts: tuple[dict, dict] = (defaultdict(set), defaultdict(set))
     df = (Counter(), Counter())
     total = [0, 0]
@@ -128,13 +131,15 @@ def learn(rows: list[tuple[str, int]]) -> list[str]:
                 if len(w) > 2 and len(contexts[1][w]) < 1000:
                     contexts[1][w].add((before, after))
     if not total[1]:
-        return []
+        return [], []
     good = []
     for w, seen in contexts[1].items():
         ratio = (df[1][w] / total[1]) / ((df[0][w] + 0.5) / (total[0] + 1))
         if len(seen) >= max(MIN_CONTEXTS, MIN_SHARE * total[1]) and ratio >= MIN_RATIO and df[0][w] <= 0.002 * total[0]:
             good.append((-len(seen), w))
-    return [w for _, w in sorted(good)[:MOST_TERMS]]
+    terms = [w for _, w in sorted(good)[:MOST_TERMS]]
+    lexicon = Lexicon(terms)
+    return terms, sorted(w for w in df[0] if lexicon.match(w) == 1)
 
 
 def quoted_spans(text: str) -> list[tuple[int, int]]:
@@ -167,19 +172,19 @@ def score_hits(text: str, hits: list[tuple[int, int, int]]) -> float:
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> list[tuple[str, int]]:
-    """`most` rows a class or a few more, chosen by a hash of the id; labels are picked first, so few texts move."""
+    """`most` toxic rows or a few more and CLEAN times as many others, chosen by a hash of the id; labels are picked first, so few texts move."""
     y = labels.select(F.col(id_col).alias("i"), F.col("toxic").cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("i").isNotNull() & (F.pmod(F.crc32(F.col("i").cast("string")), F.lit(4)) != HELD_OUT))
     n = dict(y.groupBy("y").count().collect())
-    share = F.when(F.col("y") == 1, most / max(1, n.get(1, 0))).otherwise(most / max(1, n.get(0, 0)))
-    chosen = y.where(F.pmod(F.xxhash64("i"), F.lit(1_000_000)) < share * 1_000_000).limit(3 * most)
+    share = F.when(F.col("y") == 1, most / max(1, n.get(1, 0))).otherwise(CLEAN * most / max(1, n.get(0, 0)))
+    chosen = y.where(F.pmod(F.xxhash64("i"), F.lit(1_000_000)) < share * 1_000_000).limit((CLEAN + 2) * most)
     d = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    return [(r.t, r.y) for r in d.join(F.broadcast(chosen), "i").select("t", "y").collect()]  # 3 x most small rows at most
+    return [(r.t, r.y) for r in d.join(F.broadcast(chosen), "i").select("t", "y").collect()]  # (CLEAN + 2) x most small rows at most
 
 
-def scorer(terms: list[str]):
+def scorer(terms: list[str], natural: list[str]):
     """The function from a text to (score, hits), with the words it has met."""
-    lexicon = Lexicon(terms)
-    known = Memo(lexicon.match)
+    lexicon, natural = Lexicon(terms), frozenset(natural)
+    known = Memo(lambda w: None if w in natural else lexicon.match(w))
 
     def score(text: str | None) -> tuple[float, int]:
         low = (text or "").lower()
@@ -193,10 +198,10 @@ def scorer(terms: list[str]):
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """One row a document: id, held_out, score, predicted, n_hits."""
-    terms = learn(sample_of(docs, labels, id_col, text_col, sample))
+    learned = learn(sample_of(docs, labels, id_col, text_col, sample))
 
     def make():
-        score = scorer(terms)
+        score = scorer(*learned)
 
         def work(cols: dict) -> dict:
             rows = [score(t) for t in cols["text"]]
@@ -211,11 +216,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """The documents that score below the threshold, with all their columns; scored within the scan, nothing is joined."""
-    terms = learn(sample_of(docs, labels, id_col, text_col, sample))
+    learned = learn(sample_of(docs, labels, id_col, text_col, sample))
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        f = scorer(terms)
+        f = scorer(*learned)
         for texts in parts:
             yield texts.map(lambda t: f(t)[0]).astype(float)
 
