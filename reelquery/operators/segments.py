@@ -9,10 +9,13 @@ from ..functions.exprs import frame_number, round_sec, segment_id
 
 
 def split_points(speech: DataFrame, sample_rate: int = 16_000) -> DataFrame:
-    """The middle of each silence between consecutive regions; a video of fewer than two regions has none."""
+    """The middle of each silence between consecutive regions; a video of fewer than two regions has none.
+
+    Rounded to milliseconds in whole numbers, since middles often lie exactly between two.
+    """
     w = Window.partitionBy("video_id").orderBy("idx")
-    end, after = F.col("end_sample") / sample_rate, F.lead("start_sample").over(w) / sample_rate
-    return speech.select("video_id", "idx", round_sec(end + (after - end) / 2).alias("split_sec")).where("split_sec is not null")
+    both = F.col("end_sample") + F.lead("start_sample").over(w)
+    return speech.select("video_id", "idx", (F.floor((both * 1000 + sample_rate) / (2 * sample_rate)) / 1000).alias("split_sec")).where("split_sec is not null")
 
 
 def segments(splits: DataFrame, videos: DataFrame) -> DataFrame:

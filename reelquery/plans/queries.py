@@ -131,7 +131,7 @@ def l2_normalize(spark, sf_dir):
 # --- segments ---------------------------------------------------------------------------------------
 
 _SPEECH = f"{V.WORDS}, {V.SPEECH}"
-_SPLITS = """splits AS (SELECT * FROM (SELECT video_id, idx, round(end_sample / 16000.0::DOUBLE + (lead(start_sample) OVER w / 16000.0::DOUBLE - end_sample / 16000.0::DOUBLE) / 2, 3) AS split_sec
+_SPLITS = """splits AS (SELECT * FROM (SELECT video_id, idx, ((end_sample + lead(start_sample) OVER w) * 1000 + 16000) // 32000 / 1000.0::DOUBLE AS split_sec
  FROM speech WINDOW w AS (PARTITION BY video_id ORDER BY idx)) WHERE split_sec IS NOT NULL)"""
 _VIDEOS = "videos AS (SELECT video_id, CASE WHEN ends_with(video_id, '7') THEN -1.0 ELSE round(max(end_sample) / 16000.0::DOUBLE + 1, 3) END::DOUBLE AS duration_sec, 25.0::DOUBLE AS fps FROM speech GROUP BY video_id)"
 _SEGMENTS = """pts AS (SELECT video_id, 0.0::DOUBLE AS start_time_sec FROM videos UNION ALL SELECT video_id, split_sec FROM splits),
@@ -291,12 +291,12 @@ def region_filter(spark, sf_dir):
     return R.region_filter(s)
 
 
-@query("word_rebase", """WITH w AS (SELECT event_id, (user_id % 7)::DOUBLE AS a, (user_id % 7 + 20)::DOUBLE AS b, CASE WHEN event_id % 4 <> 0 THEN value / 10 END AS s, CASE WHEN event_id % 6 <> 0 THEN value / 8 + 1 END AS e, user_id * 60.0::DOUBLE AS o FROM events),
+@query("word_rebase", """WITH w AS (SELECT event_id, (user_id % 7)::DOUBLE AS a, (user_id % 7 + 20)::DOUBLE AS b, CASE WHEN event_id % 4 <> 0 THEN value / 10 END AS s, CASE WHEN event_id % 6 <> 0 THEN value / 7 + 1 END AS e, user_id * 60.0::DOUBLE AS o FROM events),
 t AS (SELECT event_id, o, round(a + coalesce(s, 0), 3) AS start_sec, round(least(a + coalesce(e, b - a), b), 3) AS end_sec FROM w)
 SELECT event_id, start_sec, end_sec, round(o + start_sec, 3) AS source_start, round(o + end_sec, 3) AS source_end FROM t""")
 def word_rebase(spark, sf_dir):
     e, a = V.table(spark, sf_dir, "events"), (F.col("user_id") % 7).cast("double")
-    w = e.select("event_id", a.alias("region_start"), (a + 20).alias("region_end"), F.when(F.col("event_id") % 4 != 0, F.col("value") / 10).alias("rel_start"), F.when(F.col("event_id") % 6 != 0, F.col("value") / 8 + 1).alias("rel_end"), (F.col("user_id") * 60.0).alias("clip_offset"))
+    w = e.select("event_id", a.alias("region_start"), (a + 20).alias("region_end"), F.when(F.col("event_id") % 4 != 0, F.col("value") / 10).alias("rel_start"), F.when(F.col("event_id") % 6 != 0, F.col("value") / 7 + 1).alias("rel_end"), (F.col("user_id") * 60.0).alias("clip_offset"))
     return R.rebase_words(w).select("event_id", "start_sec", "end_sec", "source_start", "source_end")
 
 

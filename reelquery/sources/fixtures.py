@@ -69,15 +69,15 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         F.concat(F.lit(" "), F.col("event_type"), F.when(F.col("event_id") % 7 == 0, ".").otherwise("")).alias("text"),
         start.alias("start_sec"),
-        F.least("value", F.lit(30.0)).alias("span"),
+        F.floor(F.least("value", F.lit(30.0))).alias("span"),
         F.col("event_type").alias("speaker"),
     ).withColumn("end_sec", F.round(F.col("start_sec") + F.col("span") / 100, 3)).drop("span")
 
 
-WORDS = """timed AS (SELECT *, epoch_us(ts) / 1000000.0::DOUBLE / 36000 AS at FROM events),
+WORDS = """timed AS (SELECT *, epoch_us(ts) / 1000000.0::DOUBLE / 36000 AS hr FROM events),
 words0 AS (SELECT 'u' || user_id AS segment_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS word_no, event_id,
   ' ' || event_type || CASE WHEN event_id % 7 = 0 THEN '.' ELSE '' END AS text,
-  round(at - min(at) OVER (PARTITION BY user_id), 3) AS start_sec, least(value, 30.0) AS span, event_type AS speaker FROM timed),
+  round(hr - min(hr) OVER (PARTITION BY user_id), 3) AS start_sec, floor(least(value, 30.0)) AS span, event_type AS speaker FROM timed),
 words AS (SELECT segment_id, word_no, event_id, text, start_sec, round(start_sec + span / 100, 3) AS end_sec, speaker FROM words0)"""
 
 
