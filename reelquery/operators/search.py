@@ -31,6 +31,12 @@ def _native_score(vector: Sequence[float]):
     return F.when((norm > 0) & (F.size(v) == len(vector)), product / norm)
 
 
+def existing(points: DataFrame, wanted: Sequence[str]) -> list[str]:
+    """The wanted collections that exist, in the wanted order."""
+    found = {r.collection for r in points.where(F.col("collection").isin(*wanted)).select("collection").distinct().collect()}
+    return [c for c in wanted if c in found]
+
+
 def score(points: DataFrame, vectors: Sequence[Sequence[float]], engine: str = "native") -> DataFrame:
     """(step, score, payload) for every point and query vector. Points of another dimension have no score and go."""
     if engine == "native":
@@ -64,8 +70,8 @@ def knn(points: DataFrame, vectors: Sequence[Sequence[float]], k: int, engine: s
 def kis(points: DataFrame, vector: Sequence[float], keyframes: Sequence[str], captions: Sequence[str], top_k: int = 100, video_id: str | None = None, candidates: int | None = None, rrf_k: int = RRF_K, engine: str = "native") -> DataFrame:
     """Known-item search: hits of all collections fused per (video, segment) by summed reciprocal ranks.
 
-    First-seen fields follow the order of collections, then ranks; a keyframe hit gives frame and image; the
-    shown score is the larger modality's best score, the order is by the unrounded sum.
+    First-seen fields follow the order of collections, then ranks; the best keyframe hit gives frame and image;
+    a modality without hits has no score; sources are the names of the collections that were hit; the shown score is the larger modality's best score, the order is by the unrounded sum.
     """
     collections = [*keyframes, *captions]
     order = F.array_position(F.array(*[F.lit(c) for c in collections]), F.col("collection")).cast("int")
@@ -80,11 +86,11 @@ def kis(points: DataFrame, vector: Sequence[float], keyframes: Sequence[str], ca
         F.sort_array(F.collect_list("seen")).alias("ranks"),  # top_k per collection at most
         F.min("seen").alias("first"),
         *[F.min_by(c, "seen").alias(c) for c in ("start_time_sec", "end_time_sec")],
-        F.min_by("frame_index", "seen").alias("f0"), F.min_by("image_path", "seen").alias("i0"),
+        F.min_by("frame_index", "seen").alias("f0"),
         F.max_by("frame_index", F.when(~F.col("cap"), F.col("best"))).alias("f1"), F.max_by("image_path", F.when(~F.col("cap"), F.col("best"))).alias("i1"),
         F.max_by("text", F.when(F.col("cap"), F.col("best"))).alias("text"),
         F.max(F.when(~F.col("cap"), F.col("score"))).alias("kf"), F.max(F.when(F.col("cap"), F.col("score"))).alias("cp"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("cap"), "caption").otherwise("keyframe"))), ",").alias("sources"),
+        F.array_join(F.array_sort(F.collect_set("collection")), ",").alias("sources"),
     )
     total = F.aggregate("ranks", F.lit(0.0), lambda s, r: s + 1.0 / (rrf_k + r["rank"]))
     g = g.withColumn("rrf", total).orderBy(F.desc("rrf"), "first").limit(top_k)
@@ -92,8 +98,7 @@ def kis(points: DataFrame, vector: Sequence[float], keyframes: Sequence[str], ca
     return g.select(
         F.row_number().over(final).cast("long").alias("rank"), "video_id", "segment_id", "start_time_sec", "end_time_sec",
         F.when(F.col("kf").isNotNull(), F.col("f1")).otherwise(F.col("f0")).alias("frame_index"),
-        F.when(F.col("kf").isNotNull(), F.col("i1")).otherwise(F.col("i0")).alias("image_path"), "text",
-        F.round(F.coalesce("kf", F.lit(0.0)), 4).alias("keyframe_score"), F.round(F.coalesce("cp", F.lit(0.0)), 4).alias("caption_score"),
+        F.col("i1").alias("image_path"), "text", F.col("kf").alias("keyframe_score"), F.col("cp").alias("caption_score"),
         "sources", F.round("rrf", 6).alias("rrf_score"), F.coalesce(F.round(F.greatest("kf", "cp"), 4), F.lit(0.0)).alias("score"),
     )
 
@@ -118,11 +123,11 @@ def trake(points: DataFrame, vectors: Sequence[Sequence[float]], keyframes: Sequ
     maximum, so a step costs a sort and not a join. Result: one row a video and event.
     """
     if not vectors:
-        return points.sparkSession.createDataFrame([], "rank long, video_id string, score double, total_score double, event_index int, frame_index long, segment_id string, image_path string, event_score double")
+        return points.sparkSession.createDataFrame([], "rank long, video_id string, score double, total_score double, event_index int, frame_index long, segment_id string, image_path string, start_time_sec double, end_time_sec double, event_score double")
     hits = knn(points.where(F.col("collection").isin(*keyframes)), vectors, per_query, engine).where("video_id is not null and frame_index is not null")
     # keyframe collections one after another, each by rank: that is the order of first appearance
     order = F.array_position(F.array(*[F.lit(c) for c in keyframes]), F.col("collection"))
-    hits = hits.withColumn("pos", order * 1_000_000 + F.col("rank")).select("step", "video_id", F.col("frame_index").alias("frame"), "pos", "score", F.struct("frame_index", "segment_id", "image_path", F.round("score", 6).alias("event_score")).alias("event"))
+    hits = hits.withColumn("pos", order * 1_000_000 + F.col("rank")).select("step", "video_id", F.col("frame_index").alias("frame"), "pos", "score", F.struct("frame_index", "segment_id", "image_path", "start_time_sec", "end_time_sec", F.round("score", 6).alias("event_score")).alias("event"))
     first = hits.where("step = 0")
     chain = first.select("video_id", "frame", "pos", F.col("score").alias("tot"), F.array("event").alias("chain"), F.min("pos").over(Window.partitionBy("video_id")).alias("seen"))
     kinds = {f.name: f.dataType for f in chain.schema}

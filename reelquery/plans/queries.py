@@ -62,36 +62,40 @@ def knn_topk_arrow(spark, sf_dir):
     return hits.select("collection", F.col("rank").cast("long").alias("rank"), "point_id", "video_id", "frame_index", *r6("score"))
 
 
+def _shown(rows):
+    return rows.withColumns({c: F.round(c, 6) for c in ("keyframe_score", "caption_score")})
+
+
 def _kis_sql(top_k: int, where: str = "true", vec: int = 3) -> str:
     q = _hits(f"({vec})", where, max(top_k, 50))
     return f"""WITH {q},
 h AS (SELECT *, CASE collection WHEN 'kf' THEN 1 ELSE 2 END AS ord, point_type = 'caption' OR coalesce(text, '') <> '' AS cap FROM ranked),
 g AS (SELECT video_id, segment_id, sum(1.0::DOUBLE / (60 + rank) ORDER BY ord, rank) AS rrf, min(ord * 1000000 + rank) AS seen,
   arg_min(start_time_sec, ord * 1000000 + rank) AS start_time_sec, arg_min(end_time_sec, ord * 1000000 + rank) AS end_time_sec,
-  arg_min(frame_index, ord * 1000000 + rank) AS f0, arg_min(image_path, ord * 1000000 + rank) AS i0,
+  arg_min(frame_index, ord * 1000000 + rank) AS f0,
   max(score) FILTER (NOT cap) AS kf, max(score) FILTER (cap) AS cp,
   arg_min(frame_index, ord * 1000000 + rank) FILTER (NOT cap) AS f1, arg_min(image_path, ord * 1000000 + rank) FILTER (NOT cap) AS i1,
   arg_min(text, ord * 1000000 + rank) FILTER (cap) AS text,
-  string_agg(DISTINCT CASE WHEN cap THEN 'caption' ELSE 'keyframe' END, ',' ORDER BY CASE WHEN cap THEN 'caption' ELSE 'keyframe' END) AS sources FROM h GROUP BY ALL),
+  string_agg(DISTINCT collection, ',' ORDER BY collection) AS sources FROM h GROUP BY ALL),
 t AS (SELECT *, row_number() OVER (ORDER BY rrf DESC, seen) AS rank FROM g)
 SELECT rank, video_id, segment_id, start_time_sec, end_time_sec, CASE WHEN kf IS NOT NULL THEN f1 ELSE f0 END AS frame_index,
-  CASE WHEN kf IS NOT NULL THEN i1 ELSE i0 END AS image_path, text, round(coalesce(kf, 0), 4) AS keyframe_score, round(coalesce(cp, 0), 4) AS caption_score,
+  i1 AS image_path, text, round(kf, 6) AS keyframe_score, round(cp, 6) AS caption_score,
   sources, round(rrf, 6) AS rrf_score, round(greatest(kf, cp), 4) AS score FROM t WHERE rank <= {top_k}"""
 
 
 @query("kis", _kis_sql(100))
 def kis(spark, sf_dir):
-    return S.kis(V.points(spark, sf_dir), V.query_vectors(spark, sf_dir, (3,))[0], ["kf"], ["cap"])
+    return _shown(S.kis(V.points(spark, sf_dir), V.query_vectors(spark, sf_dir, (3,))[0], ["kf"], ["cap"]))
 
 
 @query("kis_filtered", _kis_sql(20, "p.video_id = 'v3'"))
 def kis_filtered(spark, sf_dir):
-    return S.kis(V.points(spark, sf_dir), V.query_vectors(spark, sf_dir, (3,))[0], ["kf"], ["cap"], top_k=20, video_id="v3")
+    return _shown(S.kis(V.points(spark, sf_dir), V.query_vectors(spark, sf_dir, (3,))[0], ["kf"], ["cap"], top_k=20, video_id="v3"))
 
 
 @query("qa_context", _kis_sql(5))
 def qa_context(spark, sf_dir):
-    return S.qa_context(V.points(spark, sf_dir), V.query_vectors(spark, sf_dir, (3,))[0], ["kf"], ["cap"])
+    return _shown(S.qa_context(V.points(spark, sf_dir), V.query_vectors(spark, sf_dir, (3,))[0], ["kf"], ["cap"]))
 
 
 @query("kis_flat", f"""WITH {_hits('(3)', 'true', 100)}
@@ -102,14 +106,14 @@ def kis_flat(spark, sf_dir):
 
 @query("trake", f"""WITH {_hits('(3, 101, 250)', "p.collection = 'kf'", 50)},
 c AS (SELECT a.video_id, a.rank AS r0, a.frame_index AS f0, b.frame_index AS f1, d.frame_index AS f2, b.rank AS r1, d.rank AS r2, a.score AS s0, b.score AS s1, d.score AS s2,
-   a.segment_id AS g0, b.segment_id AS g1, d.segment_id AS g2, a.image_path AS i0, b.image_path AS i1, d.image_path AS i2, a.score + b.score + d.score AS tot
+   a.segment_id AS g0, b.segment_id AS g1, d.segment_id AS g2, a.image_path AS i0, b.image_path AS i1, d.image_path AS i2, a.start_time_sec AS b0, b.start_time_sec AS b1, d.start_time_sec AS b2, a.score + b.score + d.score AS tot
   FROM ranked a JOIN ranked b ON a.video_id = b.video_id AND b.step = 1 AND a.frame_index < b.frame_index
   JOIN ranked d ON d.video_id = b.video_id AND d.step = 2 AND b.frame_index < d.frame_index WHERE a.step = 0),
 one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY tot DESC, f2, r2, f1, r1, f0, r0) AS k FROM c) WHERE k = 1),
 seen AS (SELECT video_id, min(rank) AS seen FROM ranked WHERE step = 0 GROUP BY video_id),
 top AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY round(tot, 4) DESC, seen) AS rank FROM one JOIN seen USING (video_id)) WHERE rank <= 20)
 SELECT rank, video_id, round(tot / 3, 4) AS score, round(tot, 4) AS total_score, e.* FROM top,
- LATERAL (VALUES (0, f0, g0, i0, round(s0, 6)), (1, f1, g1, i1, round(s1, 6)), (2, f2, g2, i2, round(s2, 6))) e(event_index, frame_index, segment_id, image_path, event_score)""")
+ LATERAL (VALUES (0, f0, g0, i0, b0, b0 + 10, round(s0, 6)), (1, f1, g1, i1, b1, b1 + 10, round(s1, 6)), (2, f2, g2, i2, b2, b2 + 10, round(s2, 6))) e(event_index, frame_index, segment_id, image_path, start_time_sec, end_time_sec, event_score)""")
 def trake(spark, sf_dir):
     return S.trake(V.points(spark, sf_dir), V.query_vectors(spark, sf_dir), ["kf"])
 
