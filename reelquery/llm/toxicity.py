@@ -31,6 +31,8 @@ from .common import Memo, fold, in_batches
 SAMPLE, HELD_OUT, THRESHOLD = 3_000, 2, 0.3
 #: A term occurs in so many contexts at least, and in a larger sample in this share of toxic documents.
 MIN_CONTEXTS, MIN_SHARE, MIN_RATIO, MOST_TERMS = 3, 0.012, 20.0, 5_000
+#: -log of the chance that a term's contexts would all be toxic; lengths of stems; words that a stem stands for.
+SURE, STEMS, STEM_WORDS = 14.0, (4, 5, 6), 3
 #: So many clean documents for each toxic one are sampled.
 CLEAN = 4
 FUZZY_FROM = 5
@@ -41,30 +43,33 @@ QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "‹": "›"}
 
 
 class Lexicon:
-    """The automaton: match(word) is 0 for a term, 1 for a term with one edit, None for other words."""
+    """The automaton: match(word) is 0 for a term and for words that a stem (term*) begins, 1 for a term with one edit, None for other words."""
 
     def __init__(self, terms):
         self.next: list[dict[str, int]] = [{}]
         self.end: list[bool] = [False]
         self.depth: list[int] = [0]
         self.long: list[bool] = [False]  # a term that may be misspelled lies below
+        self.stem: list[bool] = [False]
         for term in terms:
-            at, fuzzy = 0, len(term) >= FUZZY_FROM
+            star, term = term.endswith("*"), term.rstrip("*")
+            at, fuzzy = 0, len(term) >= FUZZY_FROM and not star
             path = [0]
             for c in term:
                 if c not in self.next[at]:
                     self.next[at][c] = len(self.next)
-                    for column, value in ((self.next, {}), (self.end, False), (self.depth, self.depth[at] + 1), (self.long, False)):
+                    for column, value in ((self.next, {}), (self.end, False), (self.depth, self.depth[at] + 1), (self.long, False), (self.stem, False)):
                         column.append(value)
                 at = self.next[at][c]
                 path.append(at)
-            self.end[at] = True
+            (self.stem if star else self.end)[at] = True
             if fuzzy:
                 for node in path:
                     self.long[node] = True
         self.ids: dict[frozenset, int] = {}
         self.states: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
+        self.stemmed: list[bool] = []
         self.start = self._state({(0, 0)} if len(self.next) > 1 else set())
 
     def _close(self, pairs: set) -> frozenset:
@@ -85,6 +90,7 @@ class Lexicon:
             self.ids[s] = len(self.states)
             self.states.append(s)
             self.moves.append({})
+            self.stemmed.append(any(edits == 0 and self.stem[node] for node, edits in s))
         return self.ids[s]
 
     def _move(self, state: int, c: str) -> int:
@@ -96,7 +102,7 @@ class Lexicon:
                 out.add((node, 1))  # one letter too many
                 out.update((child, 1) for x, child in self.next[node].items() if x != c and self.long[child])  # another letter
         if len(self.states) > 200_000:  # states are few unless the lexicon is large
-            self.__dict__.update(ids={}, states=[], moves=[])
+            self.__dict__.update(ids={}, states=[], moves=[], stemmed=[])
             self.start = self._state({(0, 0)})
             state = self.start
             return self._state(out)
@@ -112,13 +118,19 @@ class Lexicon:
             if to < 0:
                 return None
             state = to
+            if self.stemmed[state]:
+                return 0
         found = [edits for node, edits in self.states[state] if self.end[node] and (edits == 0 or self.depth[node] >= FUZZY_FROM)]
         return min(found) if found else None
 
 
 def learn(rows: list[tuple[str, int]]) -> tuple[list[str], list[str]]:
-    """The lexicon from (text, toxic) rows; and words of clean rows that are one edit from a term, so no misspellings."""
-    contexts: tuple[dict, dict] = (defaultdict(set), defaultdict(set))
+    """The lexicon from (text, toxic) rows, stems with a star at the end; and words of clean rows that are one edit from a term, so no misspellings.
+
+    A term must be far more frequent in toxic rows, and meet in enough contexts that chance has no part in it
+    (``SURE``). A stem stands for several words, and clean rows have none of them.
+    """
+    contexts: dict[str, set] = defaultdict(set)
     df = (Counter(), Counter())
     total = [0, 0]
     for text, toxic in rows:
@@ -128,15 +140,26 @@ def learn(rows: list[tuple[str, int]]) -> tuple[list[str], list[str]]:
         df[toxic].update(set(words))
         if toxic:
             for before, w, after in zip(["", *words], words, [*words[1:], ""], strict=False):
-                if len(w) > 2 and len(contexts[1][w]) < 1000:
-                    contexts[1][w].add((before, after))
+                if len(w) > 2 and len(contexts[w]) < 1000:
+                    contexts[w].add((before, after))
     if not total[1]:
         return [], []
+    least = max(MIN_CONTEXTS, MIN_SHARE * total[1], SURE / math.log((total[0] + 1 + total[1]) / total[1]))
+    clean = {w[:n] for w in df[0] for n in STEMS}
+    stems: dict[str, list[str]] = defaultdict(list)
+    for w in contexts:
+        for n in STEMS:
+            if len(w) > n and w[:n] not in clean:
+                stems[w[:n]].append(w)
     good = []
-    for w, seen in contexts[1].items():
+    for w, seen in contexts.items():
         ratio = (df[1][w] / total[1]) / ((df[0][w] + 0.5) / (total[0] + 1))
-        if len(seen) >= max(MIN_CONTEXTS, MIN_SHARE * total[1]) and ratio >= MIN_RATIO and df[0][w] <= 0.002 * total[0]:
+        if len(seen) >= least and ratio >= MIN_RATIO and df[0][w] <= 0.002 * total[0]:
             good.append((-len(seen), w))
+    for stem, words in stems.items():
+        n = sum(len(contexts[w]) for w in words)
+        if n >= least and sum(len(contexts[w]) > 1 for w in words) >= STEM_WORDS and not any(stem[:k] in stems for k in range(min(STEMS), len(stem))):
+            good.append((-n, stem + "*"))
     terms = [w for _, w in sorted(good)[:MOST_TERMS]]
     lexicon = Lexicon(terms)
     return terms, sorted(w for w in df[0] if lexicon.match(w) == 1)
