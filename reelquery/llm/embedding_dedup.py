@@ -130,16 +130,11 @@ def embedding_dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     rows = rows.withColumn("ok", real & F.col("g").isNotNull() & F.col("id").isNotNull()).withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit("2nd"), "v")})
     keys = ["g", "h1", "h2"]
     classes = scratch.write(rows.where("ok").groupBy(*keys).agg(F.min("id").alias("id"), F.count("*").alias("n"), F.any_value("v").alias("v")), "classes")
-    n = classes.count()
-    if n:
-        share = SAMPLE / n
-        sample = [r.v for r in classes.where(F.pmod(F.xxhash64("h1", "h2"), F.lit(1_000_000)) < share * 1_000_000).select("v").limit(2 * SAMPLE).collect()]
-        size = max(map(len, sample), default=0)
-        sample = [x for x in sample if len(x) == size] or [classes.first().v]
-        index = MultiIndex(unit(np.array(sample)), cosine)
-        found = _meet(classes, index, len(sample[0]), scratch, cosine)
-    else:
-        found = spark.createDataFrame([], "a long, b long, n long")
+    found = spark.createDataFrame([], "a long, b long, n long")
+    for width, n in sorted(map(tuple, classes.groupBy(F.size("v").alias("w")).count().collect())):  # one, as a rule
+        own = classes.where(F.size("v") == width)
+        sample = [r.v for r in own.where(F.pmod(F.xxhash64("h1", "h2"), F.lit(1_000_000)) < SAMPLE / n * 1_000_000).select("v").limit(2 * SAMPLE).collect()] or [own.first().v]
+        found = found.unionByName(_meet(own, MultiIndex(unit(np.array(sample)), cosine), width, scratch, cosine))
     found = scratch.write(found, "found")
     links = found.where("b is null").groupBy("a").agg(F.sum("n").alias("links"))
     roots = connected_components(found.where("b is not null").select("a", "b"), scratch)
@@ -158,15 +153,12 @@ def _meet(classes: DataFrame, index: MultiIndex, width: int, scratch: Scratch, c
     def assign(batches):
         index = MultiIndex.of(*sent.value)
         for b in batches:
-            vs = b.column("v").to_pylist()
-            ok = [k for k, x in enumerate(vs) if len(x) == width]
-            b = b.take(pa.array(ok, pa.int64()))
-            raw = np.array([vs[k] for k in ok]).reshape(-1, width)
-            visits = index.cells(unit(raw), index.visits) if len(ok) else np.zeros((0, 1), int)
+            raw = np.array(b.column("v").to_pylist(), float).reshape(-1, width)
+            visits = index.cells(unit(raw), index.visits) if len(raw) else np.zeros((0, 1), int)
             own = visits[:, 0]
             yield pa.RecordBatch.from_arrays([b.column("g"), b.column("id"), b.column("n"), pa.array([x.tobytes() for x in raw], pa.binary()), pa.array(own, pa.int64()), pa.array(visits.tolist(), pa.list_(pa.int64()))], ["g", "id", "n", "v", "cell", "visits"])
 
-    placed = scratch.write(classes.select("g", "id", "n", "v").mapInArrow(assign, "g string, id long, n long, v binary, cell long, visits array<long>"), "placed")
+    placed = scratch.write(classes.select("g", "id", "n", "v").mapInArrow(assign, "g string, id long, n long, v binary, cell long, visits array<long>"), f"placed{width}")
     # how many blocks a cell's members and visitors fill; one row a cell
     members = placed.groupBy("g", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("mb"))
     visitors = placed.select("g", F.explode("visits").alias("cell")).groupBy("g", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("vb"))
