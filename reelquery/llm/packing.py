@@ -38,6 +38,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def ends_in_letter(w: bytes) -> bool:
+    """Whether a lower-case letter of two bytes that normalising keeps (Latin, to U+023F) stands before the last byte."""
+    return len(w) > 2 and w[-2] >= 128 and 0xC3 <= w[-3] <= 0xC8 and (c := w[-3:-1].decode()).isalpha() and c.islower()
+
+
 class WordIds:
     """Packed ids of words (ASCII white space apart), each tokenised once while it is kept.
 
@@ -65,7 +70,7 @@ class WordIds:
         new = words.difference(known)
         self.again.update(words)
         self.again.difference_update(new)
-        marked = [w for w in new if w[-1] in b",.;:!?" and len(w) > 1 and 97 <= w[-2] <= 122]
+        marked = [w for w in new if w[-1] in b",.;:!?" and len(w) > 1 and (97 <= w[-2] <= 122 or ends_in_letter(w))]
         new.difference_update(marked)
         new.update({x for w in marked for x in (w[:-1], w[-1:])}.difference(known))
         plain, other = [], []
