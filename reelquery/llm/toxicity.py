@@ -2,7 +2,8 @@
 
 The lexicon is learned from a bounded sample of labelled documents (``SAMPLE`` toxic ones and ``CLEAN`` times
 as many others, outside the held-out fold): words that occur in toxic documents in many different contexts and hardly in others.
-Counting contexts (neighbouring words), not documents, keeps the words of copied documents out.
+Counting different contexts (neighbouring words), one a document, keeps words of copied and of very long
+documents out.
 
 The lexicon's trie is intersected with the Levenshtein automaton of each term (one edit for terms of
 ``FUZZY_FROM`` letters or more): a state is the set of (trie node, edits) pairs alive, made when first
@@ -31,12 +32,12 @@ from .common import Memo, fold, in_batches
 SAMPLE, HELD_OUT, THRESHOLD = 3_000, 2, 0.3
 #: A term occurs in so many contexts at least, and in a larger sample in this share of toxic documents.
 MIN_CONTEXTS, MIN_SHARE, MIN_RATIO, MOST_TERMS = 3, 0.012, 20.0, 5_000
-#: -log of the chance that a term's contexts would all be toxic; lengths of stems; words that a stem stands for.
-SURE, STEMS, STEM_WORDS = 14.0, (4, 5, 6), 3
+#: -log of the chance that a term's contexts would all be toxic; lengths of stems; words that a stem stands for; weight per unit of log ratio.
+SURE, STEMS, STEM_WORDS, PER_LOG = 8.0, (4, 5, 6, 7, 8), 3, 0.058
 #: So many clean documents for each toxic one are sampled.
 CLEAN = 4
 FUZZY_FROM = 5
-EXACT, FUZZY, QUOTED, WINDOW = 0.45, 0.2, 0.25, 60
+EXACT, FUZZY, QUOTED, WINDOW = 0.45, 0.45, 0.25, 60
 WORD = re.compile(r"[^\W_]+")
 #: Opening and closing quotation marks.
 QUOTES = {'"': '"', "“": "”", "„": "“", "«": "»", "‹": "›"}
@@ -51,7 +52,9 @@ class Lexicon:
         self.depth: list[int] = [0]
         self.long: list[bool] = [False]  # a term that may be misspelled lies below
         self.stem: list[bool] = [False]
+        self.weight: dict[int, float] = {}
         for term in terms:
+            term, _, weight = term.partition(":")
             star, term = term.endswith("*"), term.rstrip("*")
             at, fuzzy = 0, len(term) >= FUZZY_FROM and not star
             path = [0]
@@ -63,6 +66,7 @@ class Lexicon:
                 at = self.next[at][c]
                 path.append(at)
             (self.stem if star else self.end)[at] = True
+            self.weight[at] = max(float(weight or EXACT), self.weight.get(at, 0.0))
             if fuzzy:
                 for node in path:
                     self.long[node] = True
@@ -109,7 +113,8 @@ class Lexicon:
         self.moves[state][c] = to = self._state(out) if out else -1
         return to
 
-    def match(self, word: str) -> int | None:
+    def find(self, word: str) -> tuple[int, float] | None:
+        """(edits, weight) of the term that the word is; of several, that of fewest edits and most weight."""
         state = self.start
         for c in word:
             to = self.moves[state].get(c)
@@ -119,16 +124,19 @@ class Lexicon:
                 return None
             state = to
             if self.stemmed[state]:
-                return 0
-        found = [edits for node, edits in self.states[state] if self.end[node] and (edits == 0 or self.depth[node] >= FUZZY_FROM)]
-        return min(found) if found else None
+                return 0, max(self.weight[node] for node, edits in self.states[state] if edits == 0 and self.stem[node])
+        found = [(edits, -self.weight[node]) for node, edits in self.states[state] if self.end[node] and (edits == 0 or self.depth[node] >= FUZZY_FROM)]
+        return (min(found)[0], -min(found)[1]) if found else None
+
+    def match(self, word: str) -> int | None:
+        return (self.find(word) or (None,))[0]
 
 
 def learn(rows: list[tuple[str, int]]) -> tuple[list[str], list[str]]:
-    """The lexicon from (text, toxic) rows, stems with a star at the end; and words of clean rows that are one edit from a term, so no misspellings.
+    """The lexicon from (text, toxic) rows (term:weight, stems with a star at the end); and words of clean rows that are one edit from a term, so no misspellings.
 
     A term must be far more frequent in toxic rows, and meet in enough contexts that chance has no part in it
-    (``SURE``). A stem stands for several words, and clean rows have none of them.
+    (``SURE``). A stem stands for several words.
     """
     contexts: dict[str, set] = defaultdict(set)
     df = (Counter(), Counter())
@@ -139,32 +147,42 @@ def learn(rows: list[tuple[str, int]]) -> tuple[list[str], list[str]]:
         total[toxic] += 1
         df[toxic].update(set(words))
         if toxic:
+            first = {}  # one context of a word a document, so a long document isn't many witnesses
             for before, w, after in zip(["", *words], words, [*words[1:], ""], strict=False):
-                if len(w) > 2 and len(contexts[w]) < 1000:
-                    contexts[w].add((before, after))
+                if len(w) > 2:
+                    first.setdefault(w, (before, after))
+            for w, around in first.items():
+                contexts[w].add(around)
     if not total[1]:
         return [], []
     least = max(MIN_CONTEXTS, MIN_SHARE * total[1], SURE / math.log((total[0] + 1 + total[1]) / total[1]))
-    clean = {w[:n] for w in df[0] for n in STEMS}
+    ratio = lambda toxic, clean: (toxic / total[1]) / ((clean + 0.5) / (total[0] + 1))
+    rare = 0.002 * total[0]
+    good = [(len(seen), ratio(df[1][w], df[0][w]), w) for w, seen in contexts.items() if len(seen) >= least and df[0][w] <= rare]
     stems: dict[str, list[str]] = defaultdict(list)
     for w in contexts:
         for n in STEMS:
-            if len(w) > n and w[:n] not in clean:
+            if len(w) > n:
                 stems[w[:n]].append(w)
-    good = []
-    for w, seen in contexts.items():
-        ratio = (df[1][w] / total[1]) / ((df[0][w] + 0.5) / (total[0] + 1))
-        if len(seen) >= least and ratio >= MIN_RATIO and df[0][w] <= 0.002 * total[0]:
-            good.append((-len(seen), w))
-    for stem, words in stems.items():
-        n = sum(len(contexts[w]) for w in words)
-        if n >= least and sum(len(contexts[w]) > 1 for w in words) >= STEM_WORDS and not any(stem[:k] in stems for k in range(min(STEMS), len(stem))):
-            good.append((-n, stem + "*"))
-    terms = [w for _, w in sorted(good)[:MOST_TERMS]]
+    stems = {x: ws for x, ws in stems.items() if sum(len(contexts[w]) > 1 for w in ws) >= STEM_WORDS and sum(len(contexts[w]) for w in ws) >= least}
+    clean = Counter()
+    for w, n in df[0].items():
+        clean.update({x: n for k in STEMS if len(w) > k and (x := w[:k]) in stems})
+    for x, ws in stems.items():
+        if clean[x] <= rare:  # a shorter stem stands for all longer ones
+            n = sum(len(contexts[w]) for w in ws)
+            if not any(x[:k] in stems and clean[x[:k]] <= rare for k in range(min(STEMS), len(x))):
+                good.append((n, ratio(min(n, total[1]), clean[x]), x + "*"))
+    terms = [f"{w}:{weight_of(r):.3f}" for _, r, w in sorted(good, key=lambda t: (-t[0], t[2])) if r >= MIN_RATIO][:MOST_TERMS]
     lexicon = Lexicon(terms)
     return terms, sorted(w for w in df[0] if lexicon.match(w) == 1)
 
 
+def weight_of(ratio: float) -> float:
+    """A term's weight: in proportion to the log of how much likelier it makes a toxic text."""
+    return min(EXACT, PER_LOG * math.log(ratio))
+
+
 def quoted_spans(text: str) -> list[tuple[int, int]]:
     """Spans between matching quotation marks of one line, of 300 characters at most."""
     out, at = [], 0
@@ -178,16 +196,17 @@ def quoted_spans(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def score_hits(text: str, hits: list[tuple[int, int, int]]) -> float:
-    """hits: (start, end, edits). Higher for abuse than for quotation."""
+def score_hits(text: str, hits: list[tuple[int, int, int, float]]) -> float:
+    """hits: (start, end, edits, weight). Higher for abuse than for quotation."""
     if not hits:
         return 0.0
     spans = quoted_spans(text) if any(q in text for q in QUOTES) else []
-    inside = [any(a < s and e <= b for a, b in spans) for s, e, _ in hits]
-    bare = [s for (s, _, _), q in zip(hits, inside, strict=True) if not q]
+    inside = [any(a < s and e <= b for a, b in spans) for s, e, *_ in hits]
+    bare = [s for (s, *_), q in zip(hits, inside, strict=True) if not q]
     total = 0.0
-    for (s, _, edits), q in zip(hits, inside, strict=True):
-        weight = FUZZY if edits else EXACT
+    for (s, _, edits, weight), q in zip(hits, inside, strict=True):
+        if edits:
+            weight *= FUZZY
         if q and not any(abs(s - b) <= WINDOW for b in bare):
             weight *= QUOTED
         total += weight
@@ -207,13 +226,13 @@ def sample_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, mo
 def scorer(terms: list[str], natural: list[str]):
     """The function from a text to (score, hits), with the words it has met."""
     lexicon, natural = Lexicon(terms), frozenset(natural)
-    known = Memo(lambda w: None if w in natural else lexicon.match(w))
+    known = Memo(lambda w: None if w in natural else lexicon.find(w))
 
     def score(text: str | None) -> tuple[float, int]:
         low = (text or "").lower()
         hits = []
         if any(known[w] is not None for w in set(WORD.findall(low))):
-            hits = [(m.start(), m.end(), known[m[0]]) for m in WORD.finditer(low) if known[m[0]] is not None]
+            hits = [(m.start(), m.end(), *known[m[0]]) for m in WORD.finditer(low) if known[m[0]] is not None]
         return score_hits(low, hits), len(hits)
 
     return score
