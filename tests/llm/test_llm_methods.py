@@ -188,10 +188,11 @@ def test_base_labels_by_brute_force(spark, sf, texts):
 
 def test_templates_are_found_where_words_moved():
     index = license_scan.Index({}, 100)
-    for label, text, _ in license_scan.TEMPLATES:
+    for label, text, keys in license_scan.TEMPLATES:
         assert index.scan(f"x y {text} z")[5].split(",").count(label) == 1
-        words = text.split()
-        assert label in index.scan(" ".join([*words[:1], "the", *words[1:]]))[5] or len(words) < 6
+        moved = text.replace(keys[0], f"{keys[0]} indeed")  # a word more, but not within a key phrase
+        assert label in index.scan(moved)[5]
+        assert label not in index.scan(text.replace(keys[0], " indeed ".join(keys[0].split())))[5]
     assert index.scan("general words about a license and the public, in version 3")[5] == ""
     assert index.scan("License the Apache way: version of 2 and 0")[5] == ""
     assert index.scan("CC-BY")[:5] == (2, 1, 0, 0, "cc-by")
