@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import NO_ID, BLANKS, Scratch, ascii_lower
 
 MIN_CHARS, MIN_DOCS = 20, 3
-BATCHES, FANOUT = 4, 2
+BATCHES, FANOUT, HOT = 4, 2, 5000
 HASH = ["h1", "h2"]
 
 
@@ -101,8 +101,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for k in reversed(range(batches)):
         part = lines if k == 0 else lines.where(F.col("id") >= cuts[k])
         index.add(part if k == batches - 1 else part.where(F.col("id") < cuts[k + 1]))
-    frequent = index.compact().where(F.col("n") >= min_docs).select(*HASH, "keeper")
-    drops = lines.join(frequent, HASH).where("id <> keeper").groupBy("id").agg(F.collect_set("h1").alias("drop"))
+    index_rows = index.compact()
+    total = index_rows.agg(F.sum("n")).first()[0] or 0
+    frequent = index_rows.where(F.col("n") >= min_docs)
+    # as counts add up to total, at most HOT lines are this frequent: they are sent to the lines, which so don't meet in one task
+    is_hot = F.col("n") > total / HOT
+    hot, cold = F.broadcast(frequent.where(is_hot).select(*HASH, "keeper")), frequent.where(~is_hot).select(*HASH, "keeper")
+    matched = lines.join(hot, HASH).unionByName(lines.join(hot, HASH, "left_anti").join(cold, HASH))
+    drops = matched.where("id <> keeper").groupBy("id").agg(F.collect_set("h1").alias("drop"))
     kept = F.filter(_lines("text"), lambda x: ~F.coalesce(F.array_contains(F.col("drop"), _hashed(x)["h1"]), F.lit(False)))
     out = d.join(drops, "id", "left").select("own", "text", F.when(F.col("drop").isNull(), _lines("text")).otherwise(kept).alias("kept"))
     if carry:
