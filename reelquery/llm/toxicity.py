@@ -29,13 +29,13 @@ from pyspark.sql import functions as F
 
 from .common import Memo, fold, in_batches
 
-SAMPLE, HELD_OUT, THRESHOLD = 3_000, 2, 0.3
+SAMPLE, HELD_OUT, THRESHOLD = 1_500, 2, 0.3
 #: A term occurs in so many contexts at least, and in a larger sample in this share of toxic documents.
 MIN_CONTEXTS, MIN_SHARE, MIN_RATIO, MOST_TERMS = 3, 0.012, 20.0, 5_000
 #: -log of the chance that a term's contexts would all be toxic; lengths of stems; words that a stem stands for; weight per unit of log ratio.
 SURE, STEMS, STEM_WORDS, PER_LOG = 8.0, (4, 5, 6, 7, 8), 3, 0.058
 #: So many clean documents for each toxic one are sampled.
-CLEAN = 4
+CLEAN = 3
 FUZZY_FROM = 5
 EXACT, FUZZY, QUOTED, WINDOW = 0.45, 0.45, 0.25, 60
 WORD = re.compile(r"[^\W_]+")
