@@ -8,13 +8,17 @@ this one keeps frequent passages out of prefixes.
 
 1. Candidates: two sets with Jaccard >= 75 % share an n-gram of their prefixes (the first
    n - ceil(0.75 n) + 1 of each in the global order). Prefix rows meet by n-gram; lists of one class go,
-   and of lists with the same members one stays.
-2. First round: in each list, by size, every class is paired with the one before it and the first. That is
-   in proportion to the list, and joins groups of near copies.
-3. Second round: in lists whose classes are not yet in one component, every pair of different components
-   that sizes allow. Pairs within a component need no check, so no link between components is lost.
-4. Vertical partitioning: the global order is cut into ``FRAGMENTS`` fragments (and its tail is one more). Each
-   set is cut likewise, overlaps are counted a fragment at a time, and summed per pair.
+   and of lists with the same members one stays. A pair needs a list in which the n-grams from its place on are
+   enough in both sets (the first n-gram that two sets share has that property if they are alike).
+2. First round: in each list every class is paired with the first and the last one by hash. That is in
+   proportion to the list, and joins groups of near copies.
+3. Second round: lists are put in ``TRIES`` new orders, and each class outside its list's largest component is
+   paired with that component's next ones before and after. Last, every pair of different components that a
+   list still holds and that sizes and places allow. Pairs within a component need no check, so no link between
+   components is lost.
+4. Vertical partitioning: the n-grams, ordered by hash, are cut into ``FRAGMENTS`` fragments. The sets of
+   candidate pairs are cut likewise, overlaps are counted a fragment at a time, and summed per pair;
+   after the first fragment, pairs go that the others can't make up for.
 
 Null, empty and wordless texts have empty sets and link with nothing. Texts with fewer words than a shingle
 are one n-gram. Rows with equal ids are told apart by their sets; null ids rank below all others in the work
@@ -35,7 +39,8 @@ from pyspark.sql import functions as F
 from .common import NO_ID, Scratch, connected_components, words_of
 
 WORDS, PERCENT = 5, 75
-FRAGMENTS, MOST_FREQUENT, FREQUENT_FROM, FLUSH, SALT = 4, 1 << 20, 8, 4_000_000, 20_000
+FRAGMENTS, MOST_FREQUENT, FREQUENT_FROM, FLUSH = 4, 1 << 20, 2, 4_000_000
+SALT, TAIL_SALT, BITMAP, TRIES = 20_000, 64, 1 << 26, 8
 _K, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -123,7 +128,7 @@ def _prefixes(docs: DataFrame, order, width: int, percent: int) -> DataFrame:
         ranks = Order(*order.value)
         seen: set[int] = set()
         for b in batches:
-            grams, sigs, sizes, tails = [], [], [], []
+            grams, sigs, sizes, tails, places = [], [], [], [], []
             for text in b.column(1).to_pylist():
                 s = shingles(text, width)
                 if not len(s) or (sig := signature(s)) in seen:
@@ -133,47 +138,112 @@ def _prefixes(docs: DataFrame, order, width: int, percent: int) -> DataFrame:
                 first = np.lexsort((s, tail))[: prefix_size(len(s), percent)]
                 grams.append(s[first])
                 tails.append(tail[first] > 0)
+                places.append(np.arange(len(first)))
                 sigs.append(np.full(len(first), sig, np.int64))
-                sizes.append(np.full(len(first), len(s), np.int64))
+                sizes.append(np.full(len(first), len(s), np.int32))
             if grams:
-                yield pa.RecordBatch.from_arrays([_longs(np.concatenate(grams)), pa.array(np.concatenate(sigs)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(tails))], ["gram", "sig", "n", "tail"])
+                yield pa.RecordBatch.from_arrays([_longs(np.concatenate(grams)), pa.array(np.concatenate(sigs)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(tails)), pa.array(np.concatenate(places).astype(np.int32))], ["gram", "sig", "n", "tail", "pos"])
 
-    return docs.mapInArrow(run, "gram long, sig long, n long, tail boolean")
+    return docs.mapInArrow(run, "gram long, sig long, n int, tail boolean, pos int")
 
 
-def _fragments(docs: DataFrame, order, width: int) -> DataFrame:
-    """(sig, fragment, its n-grams) of each row's set."""
+def _bits(id_col: str) -> list:
+    """Two bit numbers of an id."""
+    return [F.pmod(F.xxhash64(id_col), F.lit(BITMAP)), F.pmod(F.xxhash64(F.lit("2nd"), id_col), F.lit(BITMAP))]
+
+
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of ids, of BITMAP bits whatever their number; when crowded it lets more pass, never less."""
+    words = ids.select(F.explode(F.array(*_bits("id"))).alias("k")).groupBy(F.floor(F.col("k") / 64).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(k % 64 AS int)))").alias("x")).toArrow()
+    out = np.zeros(BITMAP // 64, np.int64)
+    out[words.column("w").to_numpy()] = words.column("x").to_numpy()
+    return out
+
+
+def _fragments(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(sig, its first fragment, the other fragments) of the sets of the named rows, and of a few more. Texts stay where they are: ids travel, as a bitmap."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))  # BITMAP / 8 bytes
+
+    pivots = np.array([k * 2**64 // FRAGMENTS for k in range(1, FRAGMENTS)], np.uint64)
 
     def run(batches):
-        ranks = Order(*order.value)
+        seen: set[int] = set()
         for b in batches:
-            sigs, parts, values = [], [], []
-            for text in b.column(0).to_pylist():
+            hit = np.ones(len(b), bool)
+            for k in (1, 2):
+                bit = b.column(k).to_numpy(zero_copy_only=False)
+                hit &= (wanted.value[bit >> 6] >> (bit & 63)) & 1 == 1
+            sigs, parts = [], []
+            for text in b.column(0).filter(pa.array(hit)).to_pylist():
                 s = shingles(text, width)
                 sig = signature(s)
-                tail = ranks.tail(s) > 0
-                part = np.where(tail, FRAGMENTS, (s >> np.uint64(32)) * np.uint64(FRAGMENTS) >> np.uint64(32)).astype(int)
-                for k in range(FRAGMENTS + 1):
-                    if len(v := s[part == k]):
-                        sigs.append(sig)
-                        parts.append(k)
-                        values.append(v.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(parts, pa.int32()), pa.array(values, pa.list_(pa.int64()))], ["sig", "part", "grams"])
-
-    return docs.mapInArrow(run, "sig long, part int, grams array<long>")
+                if sig in seen:
+                    continue
+                seen.add(sig)
+                sigs.append(sig)
+                parts.append([v.view(np.int64) for v in np.split(s, np.searchsorted(s, pivots))])
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array([p[0] for p in parts], longs), pa.array([p[1:] for p in parts], pa.list_(longs))], ["sig", "head", "rest"])
+
+    return docs.select("text", *[x.alias(f"k{k}") for k, x in enumerate(_bits("id"))]).mapInArrow(run, "sig long, head array<long>, rest array<array<long>>")
+
+
+def _fetch(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch, name: str, width: int) -> DataFrame:
+    """The cut sets of all classes in pairs, bucketed by class: joins with pairs then move the pairs only."""
+    sigs = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+    sets = _fragments(docs, classes.join(sigs, "sig").select("id"), width)
+    return scratch.write_run(sets, f"sets{name}", ["sig"], int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str, percent: int) -> DataFrame:
+    """Pairs (a, b, na, nb) whose overlaps, summed over fragments, are enough.
+
+    The first fragment is counted for all; pairs that can't be enough any more, were all else shared, go. A set
+    may be there more than once (a row of equal text in another task); its copies are equal, so maxima stand for all.
+    """
+    side = lambda x, part: sets.select(F.col("sig").alias(x), F.col(part).alias(f"g{x}"))
+    shared = lambda x, y: F.size(F.array_intersect(x, y)).cast("long")
+    key = ["a", "b", "na", "nb"]
+    enough = lambda o: 100 * o >= percent * (F.col("na") + F.col("nb") - o)
+    first = pairs.join(side("a", "head"), "a").join(side("b", "head"), "b").select(*key, shared(F.col("ga"), F.col("gb")).alias("o"), F.size("ga").alias("sa"), F.size("gb").alias("sb"))
+    first = first.groupBy(*key).agg(F.max("o").alias("o"), F.max("sa").alias("sa"), F.max("sb").alias("sb"))
+    left = scratch.write(first.where(enough(F.col("o") + F.least(F.col("na") - F.col("sa"), F.col("nb") - F.col("sb")))).select(*key, "o"), f"left{name}")
+    parts = F.aggregate(F.zip_with("ga", "gb", shared), F.lit(0).cast("long"), lambda s, x: s + x)
+    more = left.join(side("a", "rest"), "a").join(side("b", "rest"), "b").select("a", "b", parts.alias("r")).groupBy("a", "b").agg(F.max("r").alias("r"))
+    out = scratch.write(left.join(more, ["a", "b"]).where(enough(F.col("o") + F.col("r"))).select("a", "b"), f"links{name}")
+    _free(sets.sparkSession)
+    return out
+
+
+def _unite(roots: DataFrame | None, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(sig, root) after more links. Only roots are linked anew, so a group's links shrink to one edge a component."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("sig")).distinct().select("sig", F.col("sig").alias("root"))
+    if roots is not None:
+        ends = roots.union(ends.join(roots.select("sig"), "sig", "left_anti"))
+        ends = scratch.write(ends, f"ends{name}")
+        links = links.join(ends.select(F.col("sig").alias("a"), F.col("root").alias("ra")), "a").join(ends.select(F.col("sig").alias("b"), F.col("root").alias("rb")), "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+    found = connected_components(links, scratch, f"cc{name}").select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return scratch.write(ends.join(found, "root", "left").select("sig", F.coalesce("top", "root").alias("root")), f"roots{name}")
+
+
+def _open(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """Lists of more than one component: rows with their component and the list's largest one (big)."""
+    placed = lists.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    groups = placed.groupBy("gram", "root").agg(F.count("*").alias("k")).groupBy("gram").agg(F.max_by("root", F.struct("k", "root")).alias("big"), F.count("*").alias("roots")).where("roots > 1")
+    return placed.join(groups.select("gram", "big"), "gram")
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs (a, b, na, nb) whose overlaps, summed over fragments, are enough."""
-    left = pairs.join(sets.select(F.col("sig").alias("a"), "part", F.col("grams").alias("ga")), "a")
-    both = left.join(sets.select(F.col("sig").alias("b"), "part", F.col("grams").alias("gb")), ["b", "part"])
-    shared = both.select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).cast("long").alias("o"))
-    total = shared.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
-    return total.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b")
+def _possible(percent: int):
+    """Whether sets of n and m n-grams can be alike if the first n-gram that they share stands at pos in one and at p in the other."""
+    most = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("p"))
+    return (100 + percent) * most >= percent * (F.col("n") + F.col("m"))
 
 
-def _sized(percent: int):
-    return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+def _pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b, na, nb), a < b, of rows (sig, n, pos, s, m, p) that can be alike."""
+    up = F.col("sig") < F.col("s")
+    pick = lambda x, y: F.when(up, F.col(x)).otherwise(F.col(y))
+    return rows.where(_possible(percent)).select(pick("sig", "s").alias("a"), pick("s", "sig").alias("b"), pick("n", "m").alias("na"), pick("m", "n").alias("nb")).distinct()
 
 
 def _free(spark) -> None:
@@ -192,41 +262,50 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     often = scanned.where("id is null").groupBy("sig").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "sig").limit(MOST_FREQUENT).toArrow()
     order = spark.sparkContext.broadcast((often.column("sig").to_numpy().view(np.uint64), often.column("n").to_numpy()))  # 16 bytes x MOST_FREQUENT at most
 
-    posts = _prefixes(d, order, width, percent)
-    alone = Window.partitionBy("gram", "tail")
-    # n-grams of the tail may be hot: their rows are made distinct by partial aggregation instead
-    light = posts.where("not tail").select("gram", "tail", "sig", "n", F.min("sig").over(alone).alias("lo"), F.max("sig").over(alone).alias("hi")).where("lo <> hi").select("gram", "sig", "n")
-    tail = _prefixes(d, order, width, percent).where("tail").select("gram", "sig", "n") if len(often) else None
-    lists = scratch.write((light.union(tail) if tail is not None else light).distinct(), "lists")
+    posts = _prefixes(d, order, width, percent).withColumn("salt", F.when(F.col("tail"), F.pmod("sig", F.lit(TAIL_SALT))).otherwise(0))
+    # rows of an n-gram meet here; those of the tail may be hot, are spread, and all stay
+    here = Window.partitionBy("gram", "salt")
+    posts = posts.select("gram", "sig", "n", "pos", "tail", F.min("sig").over(here).alias("lo"), F.max("sig").over(here).alias("hi"))
+    lists = scratch.write(posts.where("lo <> hi or tail").select("gram", "sig", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos")).distinct(), "lists")
     _free(spark)
     same = lists.groupBy("gram").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("sig")).alias("x"), F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("c > 1")
-    one = same.groupBy("c", "x", "lo", "hi").agg(F.min("gram").alias("gram")).select("gram", "c")
-    lists = scratch.write(lists.join(one, "gram"), "distinct")
-    needed = lists.select("sig").distinct().join(classes, "sig").select("id").distinct()
-    sets = scratch.write(_fragments(d.join(needed, "id", "left_semi").select("text"), order, width).dropDuplicates(["sig", "part"]), "sets")
+    one = scratch.write(same.select("gram", "c", F.xxhash64("c", "x", "lo", "hi").alias("list")), "one")
+    # of lists with the same members one stays, each member at its first place in any of them
+    lists = scratch.write(lists.join(one, "gram").groupBy(F.col("list").alias("gram"), "sig", "n", "c").agg(F.min("pos").alias("pos")), "distinct")
+    scratch.drop("lists")
     _free(spark)
 
-    by_size = Window.partitionBy("gram", F.pmod("sig", F.ceil(F.col("c") / SALT))).orderBy("n", "sig")
-    near = lists.select("sig", "n", *[f(x).over(by_size).alias(name) for f, x, name in ((F.lag, "sig", "s1"), (F.lag, "n", "n1"), (F.first, "sig", "s2"), (F.first, "n", "n2"))])
-    near = near.select("sig", "n", F.explode(F.array(F.struct(F.col("s1").alias("s"), F.col("n1").alias("m")), F.struct(F.col("s2").alias("s"), F.col("n2").alias("m")))).alias("o"))
-    near = near.where("o.s <> sig").select(F.least("sig", "o.s").alias("a"), F.greatest("sig", "o.s").alias("b"), F.when(F.col("sig") < F.col("o.s"), F.col("n")).otherwise(F.col("o.m")).alias("na"), F.when(F.col("sig") < F.col("o.s"), F.col("o.m")).otherwise(F.col("n")).alias("nb"))
-    first = scratch.write(near.where(_sized(percent)).distinct(), "pairs1")
-    links = scratch.write(_verify(first, sets, percent), "links1")
-    roots = connected_components(links, scratch, "a")
-
-    placed = scratch.write(lists.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")), "placed")
-    groups = placed.groupBy("gram", "root").agg(F.count("*").alias("k")).groupBy("gram").agg(F.max_by("root", F.struct("k", "root")).alias("big"), F.count("*").alias("roots")).where("roots > 1")
-    open_ = placed.join(groups, "gram")
-    others = open_.where("root <> big").select("gram", F.col("sig").alias("s"), F.col("n").alias("m"), F.col("root").alias("r"))
-    pairs = others.join(open_.select("gram", "sig", "n", "root", "big"), "gram").where("r <> root and (root = big or s < sig)").where(100 * F.least("m", "n") >= percent * F.greatest("m", "n"))
-    pairs = pairs.select(F.least("s", "sig").alias("a"), F.greatest("s", "sig").alias("b"), F.when(F.col("s") < F.col("sig"), F.col("m")).otherwise(F.col("n")).alias("na"), F.when(F.col("s") < F.col("sig"), F.col("n")).otherwise(F.col("m")).alias("nb")).distinct()
-    second = scratch.write(pairs.join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs2")
-    links = scratch.write(links.union(_verify(second, sets, percent)), "links2")
-    roots = connected_components(links, scratch, "b")
-
-    scratch.drop("sets")
-    scratch.drop("lists")
-    mapped = scratch.write(classes.select("sig", "id").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")), "mapped")
+    # in every list its first and last class by hash; lists of one group share them, so few pairs are new
+    spread = Window.partitionBy("gram", F.pmod("sig", F.ceil(F.col("c") / SALT)))
+    row = F.struct(F.col("sig").alias("s"), F.col("n").alias("m"), F.col("pos").alias("p"))
+    near = lists.select("sig", "n", "pos", F.array(F.min(row).over(spread), F.max(row).over(spread)).alias("os")).select("sig", "n", "pos", F.explode("os").alias("o")).where("o.s <> sig").select("sig", "n", "pos", "o.*")
+    first = scratch.write(_pairs(near, percent), "pairs1")
+    sets = _fetch(first, d, classes, scratch, "1", width)
+    roots = _unite(None, _verify(first, sets, scratch, "1", percent), scratch, "1")
+
+    # one round in TRIES new orders; a pair without sets waits for the last round
+    open_ = scratch.write(_open(lists, roots), "open2")
+    big = F.when(F.col("root") == F.col("big"), row)
+    beside = []
+    for x in range(TRIES):
+        turn = Window.partitionBy("gram", F.pmod("sig", F.ceil(F.col("c") / SALT))).orderBy(F.xxhash64(F.lit(x), "sig"), "sig")
+        beside += [F.last(big, True).over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.first(big, True).over(turn.rowsBetween(1, Window.unboundedFollowing))]
+    near = open_.select("*", F.array(*beside).alias("os")).where("root <> big").select("sig", "n", "pos", F.explode(F.array_distinct("os")).alias("o")).where("o is not null").select("sig", "n", "pos", "o.*")
+    have = sets.select("sig").distinct()
+    near = _pairs(near, percent).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    second = scratch.write(near.join(have.withColumnRenamed("sig", "a"), "a", "left_semi").join(have.withColumnRenamed("sig", "b"), "b", "left_semi"), "pairs2")
+    roots = _unite(roots, _verify(second, sets, scratch, "2", percent), scratch, "2")
+    scratch.drop("sets1")
+
+    open_ = scratch.write(_open(lists, roots), "open3")
+    others = open_.where("root <> big").select("gram", F.col("sig").alias("s"), F.col("n").alias("m"), F.col("pos").alias("p"), F.col("root").alias("r"))
+    pairs = others.join(open_.select("gram", "sig", "n", "pos", "root", "big"), "gram").where("r <> root and (root = big or s < sig)").where(_possible(percent))
+    tried = first.select("a", "b").union(second.select("a", "b"))
+    rest = scratch.write(_pairs(pairs, percent).join(tried, ["a", "b"], "left_anti"), "pairs3")
+    roots = _unite(roots, _verify(rest, _fetch(rest, d, classes, scratch, "3", width), scratch, "3", percent), scratch, "3")
+    scratch.drop("sets3")
+
+    mapped = scratch.write(classes.select("sig", "id").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig")), "mapped")
     least = mapped.groupBy("root").agg(F.min("id").alias("component"))
     mapped = mapped.join(least, "root").select("sig", "component")
     out = rows.join(mapped, "sig", "left")
