@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 import zlib
@@ -101,13 +102,30 @@ def in_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
+        for batch in sliced(batches, 2000):
             out = work({k: batch.column(i).to_pylist() for i, k in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in kinds], schema=kinds)
 
     return df.mapInArrow(run, schema)
 
 
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that a worker holds little besides; at the end the task's memory goes back to the system."""
+    for b in batches:
+        for k in range(0, len(b), rows):
+            yield b.slice(k, rows)
+    trim()
+
+
+def trim() -> None:
+    """Workers are kept between tasks; what one has freed would otherwise stay with the worker."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 class Memo(dict):
     """A dict that works out what it lacks, and starts anew when full, so a task's memory stays bounded."""
 

@@ -36,10 +36,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NO_ID, Scratch, connected_components, words_of
+from .common import NO_ID, Scratch, connected_components, sliced, words_of
 
 WORDS, PERCENT = 5, 75
-FRAGMENTS, MOST_FREQUENT, FREQUENT_FROM, FLUSH = 4, 1 << 20, 2, 4_000_000
+FRAGMENTS, MOST_FREQUENT, FREQUENT_FROM, FLUSH = 4, 1 << 20, 2, 2_000_000
 SALT, TAIL_SALT, BITMAP, TRIES = 20_000, 64, 1 << 26, 8
 _K, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -88,7 +88,7 @@ def _scan(docs: DataFrame, width: int) -> DataFrame:
             several = times > 1
             return pa.RecordBatch.from_arrays([pa.nulls(int(several.sum()), pa.int64()), _longs(grams[several]), pa.array(times[several], pa.int64())], schema=schema)
 
-        for b in batches:
+        for b in sliced(batches):
             sigs, sizes = [], []
             for text in b.column(1).to_pylist():
                 s = shingles(text, width)
@@ -127,7 +127,7 @@ def _prefixes(docs: DataFrame, order, width: int, percent: int) -> DataFrame:
     def run(batches):
         ranks = Order(*order.value)
         seen: set[int] = set()
-        for b in batches:
+        for b in sliced(batches):
             grams, sigs, sizes, tails, places = [], [], [], [], []
             for text in b.column(1).to_pylist():
                 s = shingles(text, width)
@@ -168,7 +168,7 @@ def _fragments(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         seen: set[int] = set()
-        for b in batches:
+        for b in sliced(batches):
             hit = np.ones(len(b), bool)
             for k in (1, 2):
                 bit = b.column(k).to_numpy(zero_copy_only=False)

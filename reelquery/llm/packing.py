@@ -51,7 +51,7 @@ class WordIds:
     with one punctuation mark after a letter, both parts are looked up. When full, only words that were met again stay.
     """
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
