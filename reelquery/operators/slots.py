@@ -3,6 +3,20 @@
 A slot turns a DataFrame into one with the slot's output columns. Real models register a factory: it is called
 once a task (so a model loads once a worker), and its result is applied to Arrow batches. A row that fails
 gets an ``error`` text and doesn't stop the task.
+
+What the staged ingest gives a slot beside the columns of the video (and of the segment, if there is one), and takes:
+
+* probe: a video; frames double, fps double.
+* vad: a segment, or a whole video (segment_id null); regions array<struct<start_sample, end_sample>>.
+* asr: from_sample, to_sample of a segment, and given. Where given is null, it transcribes: text, and words
+  array<struct<text, rel_start, rel_end>> with seconds from from_sample. Else given is a sentence to be scored: logps
+  array<double> of its tokens, prompt and end left out.
+* diarize: a segment; turns array<struct<start_sec, end_sec, speaker>>.
+* codec: a segment's fps, step, from_frame and to_frame (exclusive; null is the segment's end), counted from the segment's
+  start; frames array<struct<frame_idx, image>> of frame numbers that step divides (others are dropped).
+* frame_encoder: frame_idx, image; vec array<float>.
+* captioner: segment_id, global_start_frame; caption string.
+* text_encoder: text; image_encoder: a keyframe's image; both vector array<float>.
 """
 
 from __future__ import annotations

@@ -100,10 +100,10 @@ def turn_numbers(sents: DataFrame, gap: float = 1.50) -> DataFrame:
     return sents.withColumn("turn_no", F.sum(F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1)).over(w).cast("long") - 1)
 
 
-def turns(sents: DataFrame, gap: float = 1.50) -> DataFrame:
+def turns(sents: DataFrame, gap: float = 1.50, ncr_below: float = 0.50, reliable_from: float = 0.70) -> DataFrame:
     """Speaker turns with their sentences nested; a turn ends with its last sentence."""
     order = F.struct("start_sec", "end_sec", "sent_no")
-    d = turn_numbers(sents, gap).withColumn("quality", quality(F.col("confidence")))
+    d = turn_numbers(sents, gap).withColumn("quality", quality(F.col("confidence"), ncr_below, reliable_from))
     item = F.struct(F.col("start_sec").alias("start"), F.col("end_sec").alias("end"), "sent_no", "text", "confidence", "quality")
     return d.groupBy("segment_id", "turn_no").agg(F.min_by("speaker", order).alias("speaker"), F.min("start_sec").alias("start"), F.max_by("end_sec", order).alias("end"), F.sort_array(F.collect_list(item)).alias("sentences"))
 

@@ -1,98 +1,294 @@
-"""The staged ingest: each stage is a function from tables to a table, kept as Parquet and skipped where done."""
+"""The staged ingest: each stage is a function from tables to a table, kept as Parquet and skipped where done.
+
+Stages are those of the reference: segments (1), transcripts (1.5), keyframes (2), captions (3), embed (4), ingest (5).
+Transcripts and keyframes need models; without their slots a run of all stages leaves them out with a warning, and
+asking for one by name is an error. What the slots get and give is told in ``operators.slots``.
+"""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import time
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Settings
+from ..functions.exprs import DNS, clean_text, uuid5
+from ..operators import keyframes as K
 from ..operators import segments as G
 from ..operators import store
-from ..operators.slots import apply
+from ..operators import transcript as R
+from ..operators.slots import REGISTRY, apply
 from ..sources import files
 
-ALIASES = {"keyframe": "keyframes", "caption": "captions", "embedding": "embed", "db": "ingest"}
+ALIASES = {
+    "1": "segments", "vad": "segments", "1.5": "transcripts", "transcript": "transcripts", "2": "keyframes", "dino": "keyframes", "keyframe": "keyframes",
+    "3": "captions", "vlm": "captions", "caption": "captions", "4": "embed", "embedding": "embed", "5": "ingest", "qdrant": "ingest", "db": "ingest",
+}
+#: Sampled frames that one call of the codec decodes.
+CHUNK = 64
+REGIONS, WORDS = "array<struct<start_sample bigint, end_sample bigint>>", "array<struct<text string, rel_start double, rel_end double>>"
 
 
 @dataclass(frozen=True)
 class Stage:
     name: str
+    #: (context, videos) -> work items
+    work: Callable[[dict, DataFrame], DataFrame]
     #: (context, work items) -> results with a video_id and, if rows can fail, an error column
     run: Callable[[dict, DataFrame], DataFrame]
+    #: what tells work items and results apart
+    key: Callable[[], Column]
+    #: slots without which the stage is left out
+    slots: tuple[str, ...] = ()
+
+
+def _failed(*results: DataFrame, keys: tuple[str, ...] = ("video_id", "segment_id")) -> DataFrame:
+    """One error of each item of which any row failed."""
+    out = None
+    for r in results:
+        e = r.where("error is not null").select(*keys, "error")
+        out = e if out is None else out.unionByName(e)
+    return out.groupBy(*keys).agg(F.min("error").alias("error"))
+
+
+def _segment_rows(ctx: dict, videos: DataFrame) -> DataFrame:
+    """The segments of the videos with the videos' other columns."""
+    s = ctx["read"]("segments")
+    return s.join(videos.select("video_id", *[c for c in videos.columns if c not in s.columns]), "video_id")
 
 
 def _segments(ctx: dict, videos: DataFrame) -> DataFrame:
+    speech, failed = ctx.get("speech"), None
+    if speech is None and "vad" in REGISTRY:
+        whole = videos.withColumns({"segment_id": F.lit(None).cast("string"), "start_time_sec": F.lit(0.0), "end_time_sec": F.lit(None).cast("double")})
+        heard = ctx["keep"](apply("vad", whole), "heard")
+        failed = _failed(heard, keys=("video_id",))
+        videos = videos.join(failed, "video_id", "left_anti")
+        regions = heard.select("video_id", F.posexplode(F.col("regions").cast(REGIONS)).alias("idx", "r"))
+        speech = regions.select("video_id", F.col("idx").cast("long").alias("idx"), "r.*")
     probed = apply("probe", videos)
     v = probed.select("video_id", G.duration(F.col("frames"), F.col("fps"), F.lit(None).cast("double")).alias("duration_sec"), "fps")
-    speech = ctx["speech"] if "speech" in ctx else None
     splits = G.split_points(speech, ctx["settings"].sample_rate) if speech is not None else ctx["spark"].createDataFrame([], "video_id string, idx long, split_sec double")
-    return G.segments(splits, v)
+    out = G.segments(splits, v)
+    return out if failed is None else out.withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True)
 
 
-def _captions(ctx: dict, videos: DataFrame) -> DataFrame:
-    s = ctx["read"]("segments").join(videos.select("video_id"), "video_id", "left_semi")
-    return apply("captioner", s.select("video_id", "segment_id", "global_start_frame"))
+def _regions(ctx: dict, segs: DataFrame) -> DataFrame:
+    """Adds regions (samples from the segment's start) and error: from the vad slot, else from the speech table."""
+    if "vad" in REGISTRY:
+        return apply("vad", segs).withColumn("regions", F.coalesce(F.col("regions").cast(REGIONS), F.array().cast(REGIONS)))
+    sample = lambda c: F.bround(F.col(c) * ctx["settings"].sample_rate, 0).cast("long")
+    begin, end = sample("start_time_sec"), F.when(F.col("end_time_sec") >= 0, sample("end_time_sec"))
+    both = segs.select("video_id", "segment_id", begin.alias("_a"), end.alias("_z")).join(ctx["speech"].select("video_id", "start_sample", "end_sample"), "video_id")
+    cut = both.select("segment_id", (F.greatest("start_sample", "_a") - F.col("_a")).alias("start_sample"), (F.least("end_sample", "_z") - F.col("_a")).alias("end_sample")).where("start_sample < end_sample")
+    found = cut.groupBy("segment_id").agg(F.sort_array(F.collect_list(F.struct("start_sample", "end_sample"))).cast(REGIONS).alias("regions"))
+    return segs.join(found, "segment_id", "left").withColumns({"regions": F.coalesce("regions", F.array().cast(REGIONS)), "error": F.lit(None).cast("string")})
+
+
+def _transcripts(ctx: dict, segs: DataFrame) -> DataFrame:
+    """Regions, words with speakers, sentences of each region, their confidence, turns; a row a segment, also without speech."""
+    s, keep = ctx["settings"], ctx["keep"]
+    none = F.lit(None).cast("string")
+    found = keep(_regions(ctx, segs), "regions")
+    ok = found.where("error is null").drop("error")
+    parts = ok.select(*segs.columns, F.posexplode("regions").alias("region_no", "_r")).select(*segs.columns, "region_no", F.col("_r.start_sample").alias("from_sample"), F.col("_r.end_sample").alias("to_sample"))
+    parts = R.region_filter(parts.withColumns({"start_sec": F.col("from_sample") / s.sample_rate, "end_sec": F.col("to_sample") / s.sample_rate}), s.min_region_sec).drop("start_sec", "end_sec")
+    heard = keep(apply("asr", parts.withColumn("given", none)), "asr")
+    spoken = keep(apply("diarize", ok.where(F.size("regions") > 0).drop("regions")), "diarized")
 
+    plain = clean_text(F.col("text"))
+    alone = F.array(F.struct(plain.alias("text"), F.lit(None).cast("double").alias("rel_start"), F.lit(None).cast("double").alias("rel_end"))).cast(WORDS)
+    said = heard.where("error is null").where(F.coalesce(plain, F.lit("")) != "").withColumn("words", F.when(F.size("words") > 0, F.col("words").cast(WORDS)).otherwise(alone))
+    words = said.select("segment_id", "region_no", F.col("start_time_sec").alias("clip_offset"), (F.col("from_sample") / s.sample_rate).alias("region_start"), (F.col("to_sample") / s.sample_rate).alias("region_end"), F.posexplode("words").alias("_k", "_w"))
+    words = words.select("*", "_w.*").withColumn("text", F.coalesce("text", F.lit("")))
+    words = R.rebase_words(words.withColumn("word_no", F.row_number().over(Window.partitionBy("segment_id").orderBy("region_no", "_k")) - 1)).drop("_k", "_w")
+    turns = spoken.where("error is null").select("segment_id", F.posexplode("turns").alias("turn_no", "_t")).select("segment_id", "turn_no", "_t.start_sec", "_t.end_sec", "_t.speaker")
+    words = words.join(R.assign_speaker(words, turns), ["segment_id", "word_no"])
 
-def _embed(ctx: dict, videos: DataFrame) -> DataFrame:
+    key = ["segment_id", "region_no", "sent_no"]
+    sents = keep(R.sentences(words, key[:2], s.pause_sec, s.max_sentence_sec), "sentences")
+    ask = sents.select(*key, "start_sec", "end_sec", F.col("text").alias("given")).join(ok.drop("regions"), "segment_id")
+    ask = R.pad_clamp(ask.withColumn("duration_sec", F.when(F.col("duration_sec") > 0, F.col("duration_sec"))), s.pad_sec, s.sample_rate)
+    scored = keep(apply("asr", ask.where("from_sample < to_sample").select(*parts.columns, "given", "sent_no")), "scores")
+    sure = R.confidence(scored.where("error is null").select(*key, F.explode("logps").alias("logp")), key)
+    sents = sents.join(sure, key, "left").withColumn("sent_no", F.row_number().over(Window.partitionBy("segment_id").orderBy("region_no", "sent_no")) - 1)
+    done = R.transcripts(R.turns(sents, s.turn_gap_sec, s.ncr_below, s.reliable_from))
+
+    failed = _failed(found, heard, spoken)
+    kind = done.schema["turns"].dataType
+    good = segs.select("video_id", "segment_id").join(failed.select("segment_id"), "segment_id", "left_anti").join(done, "segment_id", "left")
+    good = good.select("video_id", "segment_id", F.coalesce("turns", F.array().cast(kind)).alias("turns"), F.coalesce("full_text", F.lit("")).alias("full_text"), none.alias("error"))
+    unscored = scored.where("error is not null").select("video_id", "segment_id", F.concat(F.lit("a sentence has no confidence: "), "error").alias("error"))
+    return good.unionByName(failed.unionByName(unscored), allowMissingColumns=True)
+
+
+def _keyframes(ctx: dict, segs: DataFrame) -> DataFrame:
+    """Sampled frames, groups of similar ones and their medoids with their images."""
+    s = ctx["settings"]
+    probed = apply("probe", ctx["videos"]).where("error is null").select("video_id", F.col("fps").alias("_fps"))
+    rate = F.when(F.col("_fps") > 0, F.col("_fps")).otherwise(s.target_fps)
+    step = F.when((F.lit(s.sample_fps) > 0) & (F.lit(s.sample_fps) < rate), F.greatest(F.lit(1), F.bround(rate / s.sample_fps, 0).cast("int"))).otherwise(1)
+    d = segs.join(probed, "video_id", "left").withColumns({"fps": rate, "step": step}).drop("_fps")
+    # chunks of CHUNK sampled frames; the last one is open, so rounded lengths lose no frame
+    frames = F.when(F.col("duration_sec") > 0, F.ceil(F.col("duration_sec") * F.col("fps"))).otherwise(1).cast("long")
+    size = (F.col("step") * CHUNK).cast("long")
+    d = d.withColumn("from_frame", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(frames - 1, F.lit(0)), size)))
+    d = d.withColumn("to_frame", F.when(F.col("from_frame") + size < frames, F.col("from_frame") + size))
+    shots = apply("codec", d).select("video_id", "segment_id", "step", F.col("error").alias("_error"), F.explode_outer(F.col("frames").cast("array<struct<frame_idx bigint, image binary>>")).alias("_f"))
+    shots = shots.select("video_id", "segment_id", "step", "_error", "_f.*").where((F.col("frame_idx") % F.col("step") == 0) | F.col("_error").isNotNull())
+    seen = apply("frame_encoder", shots.drop("step")).withColumn("error", F.coalesce("_error", "error")).drop("_error")
+    seen = ctx["keep"](seen, "frames")
+    failed = _failed(seen)
+    good = seen.join(failed.select("segment_id"), "segment_id", "left_anti")
+    order = Window.partitionBy("segment_id").orderBy("frame_idx")
+    grouped = K.groups(good.select("segment_id", "frame_idx", "vec").withColumn("pos", (F.row_number().over(order) - 1).cast("long")), s.group_threshold)
+    table = K.keyframe_table(grouped, segs.select("segment_id", F.col("global_start_frame").alias("global_start_frame_of_segment")), s.max_candidates)
+    images = good.select("video_id", "segment_id", F.col("frame_idx").alias("local_keyframe"), "image")
+    return table.join(images, ["segment_id", "local_keyframe"]).withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True)
+
+
+def _captions(ctx: dict, segs: DataFrame) -> DataFrame:
+    return apply("captioner", segs.select("video_id", "segment_id", "global_start_frame"))
+
+
+def _points(ctx: dict, videos: DataFrame) -> DataFrame:
     s = ctx["read"]("segments").join(videos.select("video_id"), "video_id", "left_semi")
     empty = ctx["spark"].createDataFrame([], "segment_id string, global_keyframe long, image_path string")
-    return apply("text_encoder", store.gather(s, empty, ctx["read"]("captions")))
+    keyframes, transcripts = ctx["maybe"]("keyframes"), ctx["maybe"]("transcripts")
+    return store.gather(s, empty if keyframes is None else keyframes, ctx["read"]("captions"), transcripts, ctx["settings"].embed_transcripts)
+
 
+def _embed(ctx: dict, points: DataFrame) -> DataFrame:
+    texts = apply("text_encoder", points.where("point_type <> 'keyframe'"))
+    keyframes = ctx["maybe"]("keyframes")
+    if keyframes is None:
+        return texts
+    if "image_encoder" not in REGISTRY:
+        raise ValueError("keyframes need the slot image_encoder")
+    images = keyframes.select("segment_id", F.col("global_keyframe").alias("frame_index"), "image")
+    shown = points.where("point_type = 'keyframe'").join(images, ["segment_id", "frame_index"]).select(*points.columns, "image")
+    return texts.unionByName(apply("image_encoder", shown).drop("image"))
 
-def _ingest(ctx: dict, videos: DataFrame) -> DataFrame:
-    p = ctx["read"]("embed").join(videos.select("video_id"), "video_id", "left_semi")
-    p = p.withColumn("collection", F.when(F.col("point_type") == "keyframe", "kf").otherwise("cap"))
-    return store.with_ids(p)
 
+def _embedded(ctx: dict, videos: DataFrame) -> DataFrame:
+    return ctx["read"]("embed").join(videos.select("video_id"), "video_id", "left_semi")
 
-STAGES = [Stage("segments", _segments), Stage("captions", _captions), Stage("embed", _embed), Stage("ingest", _ingest)]
 
+def _ingest(ctx: dict, points: DataFrame) -> DataFrame:
+    p = store.with_ids(points.withColumn("collection", F.when(F.col("point_type") == "keyframe", "kf").otherwise("cap")))
+    # a transcript shares segment and frame with its segment's caption, and must not share its id
+    own = uuid5(DNS, F.concat_ws("_", "video_id", "segment_id", F.lit("tr"), F.coalesce(F.col("frame_index").cast("string"), F.lit("None"))))
+    return p.withColumn("point_id", F.when(F.col("point_type") == "transcript", own).otherwise(F.col("point_id")))
 
-def run(spark: SparkSession, videos: DataFrame, out: str, settings: Settings | None = None, stage: str | None = None, force: bool = False, strict: bool = False, **tables: DataFrame) -> DataFrame:
+
+def _video() -> Column:
+    return F.col("video_id")
+
+
+def _segment() -> Column:
+    return F.col("segment_id")
+
+
+def _point() -> Column:
+    return F.concat_ws("_", "video_id", "segment_id", "point_type", F.coalesce(F.col("frame_index").cast("string"), F.lit("None")))
+
+
+STAGES = [
+    Stage("segments", lambda ctx, videos: videos, _segments, _video),
+    Stage("transcripts", _segment_rows, _transcripts, _segment, ("vad", "asr", "diarize")),
+    Stage("keyframes", _segment_rows, _keyframes, _segment, ("codec", "frame_encoder", "image_encoder")),
+    Stage("captions", _segment_rows, _captions, _segment),
+    Stage("embed", _points, _embed, _point),
+    Stage("ingest", _embedded, _ingest, _point),
+]
+
+
+def run(spark: SparkSession, videos: DataFrame, out: str, settings: Settings | None = None, stage: str | None = None, force: bool = False, strict: bool = False, batch_size: int | None = None, **tables: DataFrame) -> DataFrame:
     """Runs all stages or one; returns the run log: a row a stage with status, rows, errors and seconds.
 
-    A video is done for a stage when the stage's table holds good rows of it; only others are worked on, and their
-    rows are appended. Failed rows go to <stage>_errors; with strict they raise at the end of the stage.
+    All stages are run for batch_size videos (of the settings, if None; 0 is all) before the next ones begin; one
+    stage alone takes all videos at once. An item (a video, a segment, a point) is done for a stage when the stage's
+    table holds good rows of it; only others are worked on, and their rows are appended. Failed rows go to
+    <stage>_errors; with strict they raise at the end of the stage. tables: speech (video_id, idx, start_sample,
+    end_sample), which stands for the vad slot where segments are cut, and in transcripts if there is no such slot.
     """
     settings = settings or Settings()
+    scratch = f"{out}/_work"
 
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{out}/{name}")
 
-    ctx = {"spark": spark, "settings": settings, "read": read, **tables}
+    def keep(rows: DataFrame, name: str) -> DataFrame:
+        """rows, written once: models aren't asked again when a result is used twice."""
+        rows.write.mode("overwrite").parquet(f"{scratch}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{scratch}/{name}")
+
+    ctx = {"spark": spark, "settings": settings, "read": read, "keep": keep, "maybe": lambda name: read(name) if _exists(spark, f"{out}/{name}") else None, **tables}
     wanted = ALIASES.get(stage, stage)
     if wanted and wanted not in {s.name for s in STAGES}:
         raise ValueError(f"unknown stage {stage}")
-    log = []
+    chosen = []
     for s in STAGES:
-        if wanted and s.name != wanted:
-            continue
-        began, status, n, bad = time.time(), "COMPLETED", 0, 0
-        try:
-            work = videos
-            if not force and _exists(spark, f"{out}/{s.name}"):
-                work = store.resume(videos, read(s.name).select("video_id", F.lit(True).alias("valid")), ["video_id"])
-            rows = s.run(ctx, work)
-            good, errors = files.split_errors(rows) if "error" in rows.columns else (rows, None)
-            good.write.mode("overwrite" if force else "append").parquet(f"{out}/{s.name}")
-            n = read(s.name).count()
-            if errors is not None:
-                errors.write.mode("overwrite").parquet(f"{out}/{s.name}_errors")
-                bad = read(f"{s.name}_errors").count()
-                if bad and strict:
-                    raise RuntimeError(f"{bad} rows failed in {s.name}")
-        except Exception as e:  # noqa: BLE001  the log says why, and a strict run ends
-            status = f"FAILED: {type(e).__name__}: {str(e)[:200]}"
-            if strict:
-                raise
-        log.append((s.name, status, n, bad, round(time.time() - began, 3)))
-    return spark.createDataFrame(log, "stage string, status string, row_count long, errors long, seconds double")
+        missing = [k for k in s.slots if k not in REGISTRY and not (k == "vad" and ctx.get("speech") is not None)]
+        if wanted == s.name and missing:
+            raise ValueError(f"stage {s.name} needs the slots {', '.join(missing)}")
+        if not wanted and missing:
+            warnings.warn(f"stage {s.name} is left out: the slots {', '.join(missing)} are not registered", stacklevel=2)
+        elif wanted in (None, s.name):
+            chosen.append(s)
+    log: dict[str, tuple] = {}
+    for number, part in enumerate(_batches(videos, settings.video_batch_size if batch_size is None else batch_size, spark, f"{out}/_batches") if wanted is None else [videos]):
+        ctx["videos"] = part
+        for s in chosen:
+            began, status, n, bad = time.time(), "COMPLETED", 0, 0
+            try:
+                work = s.work(ctx, part)
+                fresh = force and not number
+                if not force and _exists(spark, f"{out}/{s.name}"):
+                    done = read(s.name).select(s.key().alias("_key"), F.lit(True).alias("valid"))
+                    work = store.resume(work.withColumn("_key", s.key()), done, ["_key"]).drop("_key")
+                rows = s.run(ctx, work)
+                good, errors = files.split_errors(keep(rows, s.name)) if "error" in rows.columns else (rows, None)
+                good.write.mode("overwrite" if fresh else "append").parquet(f"{out}/{s.name}")
+                n = read(s.name).count()
+                if errors is not None:
+                    errors.write.mode("append" if number else "overwrite").parquet(f"{out}/{s.name}_errors")
+                    bad = read(f"{s.name}_errors").count()
+                    if bad and strict:
+                        raise RuntimeError(f"{bad} rows failed in {s.name}")
+            except Exception as e:  # noqa: BLE001  the log says why, and a strict run ends
+                status = f"FAILED: {type(e).__name__}: {str(e)[:200]}"
+                if strict:
+                    raise
+            finally:
+                _delete(spark, scratch)
+            _, before, *_, spent = log.get(s.name, (None, "COMPLETED", 0.0))
+            log[s.name] = (s.name, status if before == "COMPLETED" else before, n, bad, round(spent + time.time() - began, 3))
+    _delete(spark, f"{out}/_batches")
+    return spark.createDataFrame(list(log.values()), "stage string, status string, row_count long, errors long, seconds double")
+
+
+def _batches(videos: DataFrame, size: int, spark: SparkSession, path: str):
+    """The videos in their order, size at a time."""
+    n = videos.count()
+    if size <= 0 or n <= size:
+        yield videos
+        return
+    G.chunks(videos, "path" if "path" in videos.columns else "video_id", size).drop("row_no").write.mode("overwrite").parquet(path)
+    numbered = spark.read.parquet(path)
+    for k in range(-(-n // size)):
+        yield numbered.where(F.col("batch_no") == k).drop("batch_no")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -107,16 +303,22 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--offset", type=int, default=0)
     a.add_argument("--limit", type=int)
     a.add_argument("--stage", choices=[s.name for s in STAGES] + list(ALIASES))
+    a.add_argument("--slots", help="a module that registers slots when imported")
+    a.add_argument("--speech", help="Parquet of speech regions: video_id, idx, start_sample, end_sample")
+    a.add_argument("--video-batch-size", type=int)
     a.add_argument("--force", action="store_true")
     a.add_argument("--strict", action="store_true")
     a.add_argument("--dry-run", action="store_true")
     args = a.parse_args(argv)
+    if args.slots:
+        importlib.import_module(args.slots)
     spark = SparkSession.builder.appName("reelquery").getOrCreate()
     videos = files.discover(files.list_videos(spark, args.raw_dir), args.offset, args.limit)
     if args.dry_run:
         videos.explain("formatted")
         return
-    run(spark, videos, args.out, Settings.from_env(), args.stage, args.force, args.strict).show(truncate=False)
+    tables = {"speech": spark.read.parquet(args.speech)} if args.speech else {}
+    run(spark, videos, args.out, Settings.from_env(), args.stage, args.force, args.strict, args.video_batch_size, **tables).show(truncate=False)
 
 
 if __name__ == "__main__":
