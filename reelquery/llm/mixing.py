@@ -92,8 +92,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     out = d.select("*", epochs).withColumn("_in", F.coalesce(F.sum("n_tokens").over(inner), F.lit(0)))
     out = out.join(before, F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") == F.col("b2")) & (F.col("epoch") == F.col("e2")))
     used = F.col("epoch") + F.when(F.col("_t") > 0, (F.col("_before") + F.col("_in")) / F.col("_t")).otherwise(0.0)
-    out = out.withColumn("_used", used).where(F.col("_used") < F.col("repetitions") - 1e-9)
-    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "n_tokens", "weight", "repetitions", F.col("epoch").cast("long").alias("epoch"), "block", (F.col("_used") / F.col("repetitions")).alias("position"))
+    # whole epochs hold every document, wordless ones at their end too; the rest of the budget is met by counting
+    whole = F.col("epoch") < F.floor(F.col("repetitions") + 1e-9)
+    out = out.withColumn("_used", used).where(whole | (F.col("_used") < F.col("repetitions") - 1e-9))
+    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "n_tokens", "weight", "repetitions", F.col("epoch").cast("long").alias("epoch"), "block", F.least(F.col("_used") / F.col("repetitions"), F.lit(1.0)).alias("position"))
 
 
 def realise(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
