@@ -4,7 +4,8 @@ A language is a distribution over the pieces of a fixed public vocabulary. The p
 the sum, over all ways to cut it into pieces, of the product of the pieces' probabilities; the forward
 algorithm gets it without listing the cuts. Piece probabilities come from expectation maximisation with
 the forward-backward algorithm over a bounded sample of labelled documents (``SAMPLE`` of them in all,
-at most); everything else covers whole texts of all documents.
+at most), with all words of theirs; everything else covers whole texts of all documents. Every language of
+the labels is learned; more than ``MAX_LANGS`` are an error.
 
 Words are runs of letters, lower-cased. The algorithm runs for many words at once, one step a word
 position and piece length, and each distinct word is scored once a task.
@@ -25,8 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import Memo, fold, in_batches
 
-SAMPLE, MAX_LANGS = 4_000, 200
-ROUNDS, LONGEST_PIECE, LONGEST_WORD = 3, 6, 40
+SAMPLE, MAX_LANGS = 4_000, 1_000
+ROUNDS, LONGEST_WORD = 3, 40
+#: No piece is longer than a word.
+LONGEST_PIECE = LONGEST_WORD
 HELD_OUT = 2
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = 1e-7
@@ -135,7 +138,7 @@ def fit(texts: list[tuple[str, str]], path: str) -> tuple[list[str], np.ndarray]
     n = len(pieces.texts)
     prob = np.zeros((n + 1, len(langs)))
     for k, lang in enumerate(langs):
-        words = [w for w, _ in seen[lang].most_common(60_000)]
+        words = [w for w, _ in seen[lang].most_common()]
         weight = np.array([seen[lang][w] for w in words], float)
         p = np.full((n + 1, 1), 1 / n)
         p[n] = UNKNOWN
@@ -150,14 +153,15 @@ def fit(texts: list[tuple[str, str]], path: str) -> tuple[list[str], np.ndarray]
 def sample_of(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int) -> list[tuple[str, str]]:
     """About `most` labelled rows outside the held-out fold, chosen by a hash of their ids, as many of each language as there are."""
     d = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("g")).where(F.col("g").isNotNull() & F.col("i").isNotNull() & (F.pmod(F.crc32(F.col("i").cast("string")), F.lit(4)) != HELD_OUT))
-    counts = d.groupBy("g").count().orderBy(F.desc("count"), "g").limit(MAX_LANGS).collect()
+    counts = d.groupBy("g").count().orderBy(F.desc("count"), "g").limit(MAX_LANGS + 1).collect()
     if not counts:
         return []
-    each = most // len(counts)
-    share = F.lit(0.0)
-    for g, n in counts:
-        share = F.when(F.col("g") == g, F.lit(each / n)).otherwise(share)
-    return [(r.t, r.g) for r in d.where(F.pmod(F.xxhash64("i"), F.lit(1_000_000)) < share * 1_000_000).select("t", "g").limit(2 * most).collect()]
+    if len(counts) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    each = max(1, most // len(counts))
+    kind = d.schema["g"].dataType.simpleString()
+    shares = F.broadcast(d.sparkSession.createDataFrame([(g, each / n) for g, n in counts], f"g {kind}, share double"))  # MAX_LANGS rows at most
+    return [(r.t, r.g) for r in d.join(shares, "g").where(F.pmod(F.xxhash64("i"), F.lit(1_000_000)) < F.col("share") * 1_000_000).select("t", "g").limit(2 * max(most, len(counts))).collect()]
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", vocabulary: str | None = None, sample: int = SAMPLE) -> DataFrame:
@@ -168,20 +172,23 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def make():
         pieces, prob = Pieces(path), sent.value
-        known, rows = {}, np.zeros((0, max(1, len(langs))))
+        wide = max(1, len(langs))
+        known, rows = {}, np.zeros((0, wide))
+        # rows, words at once and texts at once shrink as languages grow, so memory doesn't grow with them
+        most, some, step = min(600_000, 24_000_000 // wide), min(5_000, 250_000 // wide), min(1_000, max(20, 50_000 // wide))
 
         def work(cols: dict) -> dict:
             nonlocal known, rows
             out = {"id": cols["id"], "held_out": [fold(i) == HELD_OUT for i in cols["id"]], "lang_pred": [], "score": []}
-            for k in range(0, len(cols["text"]), 1000):
-                split = [words_in(t) for t in cols["text"][k : k + 1000]]
-                if len(known) > 600_000:
+            for k in range(0, len(cols["text"]), step):
+                split = [words_in(t) for t in cols["text"][k : k + step]]
+                if len(known) > most:
                     known, rows = {}, rows[:0]
                 new = list({w for ws in split for w in ws if w not in known})
                 for at in range(0, len(new), 20_000):
                     part = sorted(new[at : at + 20_000], key=len)
                     known.update(zip(part, range(len(rows), len(rows) + len(part)), strict=True))
-                    rows = np.concatenate([rows, *(log_scores(part[x : x + 5_000], pieces, prob) for x in range(0, len(part), 5_000))]) if langs else np.zeros((len(known), 1))
+                    rows = np.concatenate([rows, *(log_scores(part[x : x + some], pieces, prob) for x in range(0, len(part), some))]) if langs else np.zeros((len(known), 1))
                 for ws in split:
                     if not ws or not langs:
                         out["lang_pred"].append("und")
