@@ -4,7 +4,8 @@ Equal vectors of a label are one class. Unit vectors are cut in halves, each hal
 own (k-means on a bounded sample, ``SAMPLE`` classes at most), and a vector's cell is the pair of its
 nearest centroids. A vector visits the cells nearest to it in the order of the multi-sequence algorithm;
 how many is set on the sample: the fewest (a power of two) at which ``RECALL`` of vectors moved by just
-the threshold still lie in a visited cell. All classes are indexed, all visit, and every meeting is
+the threshold still lie in a visited cell. If more than ``MOST_CELLS`` were needed, or all of them, the codebooks
+are halved until fewer do; with one cell all pairs are compared. All classes are indexed, all visit, and every meeting is
 verified by the cosine in double precision.
 
 A pair may be met from either side or both, so each side carries the cells that it visits: a pair is
@@ -55,9 +56,14 @@ class MultiIndex:
     def __init__(self, sample: np.ndarray, cosine: float = COSINE):
         self.half, self.visits = sample.shape[1] // 2, 1
         k = max(1, min(CENTROIDS, len(sample) // 8))
-        self.books = [kmeans(sample[:, : self.half], k), kmeans(sample[:, self.half :], k)]
-        if len(sample) > 1 and sample.shape[1] > 1:
-            self.visits = self._calibrate(sample[:2000], cosine)
+        while True:
+            self.books = [kmeans(sample[:, : self.half], k), kmeans(sample[:, self.half :], k)]
+            if k == 1 or len(sample) < 2 or sample.shape[1] < 2:
+                break
+            if visits := self._calibrate(sample[:2000], cosine):
+                self.visits = visits
+                break
+            k //= 2
 
     @classmethod
     def of(cls, half: int, books: list, visits: int) -> MultiIndex:
@@ -77,7 +83,8 @@ class MultiIndex:
         best = far.argsort(axis=1, kind="stable")[:, :visits]
         return (oa[:, i] * m + ob[:, j])[np.arange(len(x))[:, None], best]
 
-    def _calibrate(self, x: np.ndarray, cosine: float) -> int:
+    def _calibrate(self, x: np.ndarray, cosine: float) -> int | None:
+        """The number of cells to visit; None if MOST_CELLS, or fewer than all there are, aren't enough."""
         rng = np.random.default_rng(SEED)
         noise = rng.normal(size=x.shape)
         noise -= (noise * x).sum(axis=1, keepdims=True) * x
@@ -85,8 +92,10 @@ class MultiIndex:
         own, most = self.cells(moved, 1), self.cells(x, MOST_CELLS)
         hit = np.where((most == own).any(axis=1), (most == own).argmax(axis=1), MOST_CELLS)
         visits = 1
-        while visits < most.shape[1] and (hit < visits).mean() < RECALL:
+        while (hit < visits).mean() < RECALL:
             visits *= 2
+            if visits > MOST_CELLS or visits >= len(self.books[0]) * len(self.books[1]):
+                return None
         return visits
 
 
