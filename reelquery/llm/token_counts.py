@@ -8,8 +8,10 @@ piece, and a run of such letters is one token. Scores are added from left to rig
 so that ties come out as there.
 
 The vocabulary is that of a public tokenizer file; a piece's score is the logarithm of one over its rank.
-Pieces never hold a space mark after their first character, so each distinct space-delimited part is
-segmented once a task and texts of any length only add counts up.
+Byte pieces are left out; letters without a piece are unknown. Pieces hold space marks at their start only, or
+are a run of them, so a text is cut where a run of spaces begins: each distinct part, a run and what
+follows up to the next, is segmented once a task and texts of any length only add counts up. A vocabulary with a mark
+after another letter is an error.
 
 Null and empty texts have 0 tokens. Rows count one by one, also with equal ids; null ids stay null. An empty
 table gives an empty result. Other columns aren't read.
@@ -18,6 +20,7 @@ table gives an empty result. Other columns aren't read.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from .common import Memo, in_batches
 
 MARK, UNKNOWN_PENALTY = "▁", 10.0
+PART = re.compile(" +[^ ]*")
 
 
 def default_vocabulary() -> str:
@@ -39,10 +43,19 @@ def unigram_vocabulary(path: str) -> list[tuple[str, float]]:
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))]
-    pieces = [p for p in pieces if MARK not in p[1:]]
+    if inner := [p for p in pieces if MARK in p.lstrip(MARK)]:
+        raise ValueError(f"pieces with a space mark after another letter: {inner[:3]}")
     return [("<unk>", -20.0)] + [(p, -math.log(k + 2)) for k, p in enumerate(pieces)]
 
 
+def parts_of(text: str) -> list[str]:
+    """The parts of a text without the first space of each, which the mark before the text or a space gives."""
+    t = text.replace(MARK, " ")
+    if t[:1] == " " or "  " in t:
+        return [p[1:] for p in PART.findall(" " + t)]
+    return t.split(" ")
+
+
 class Counter:
     """count(part): the number of tokens of a part of a text that starts with the space mark."""
 
@@ -87,10 +100,10 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def make():
         counter = Counter(unigram_vocabulary(path))
-        known = Memo(lambda part: counter.count(MARK + part), 800_000)
+        known = Memo(lambda part: counter.count(MARK + part.replace(" ", MARK)), 800_000)
 
         def work(cols: dict) -> dict:
-            return {"id": cols["id"], "n_tokens": [sum(map(known.__getitem__, t.replace(MARK, " ").split(" "))) if t else 0 for t in cols["text"]]}
+            return {"id": cols["id"], "n_tokens": [sum(map(known.__getitem__, parts_of(t))) if t else 0 for t in cols["text"]]}
 
         return work
 
