@@ -184,15 +184,21 @@ def weight_of(ratio: float) -> float:
 
 
 def quoted_spans(text: str) -> list[tuple[int, int]]:
-    """Spans between matching quotation marks of one line, of 300 characters at most."""
-    out, at = [], 0
-    while at < len(text):
-        if text[at] in QUOTES:
-            stop = text.find(QUOTES[text[at]], at + 1, at + 300)
-            if stop > 0 and "\n" not in text[at:stop]:
-                out.append((at, stop))
-                at = stop
-        at += 1
+    """Spans between matching quotation marks of one line, however long."""
+    out, line = [], 0
+    for part in text.split("\n"):
+        at, open_ = 0, set()  # marks that are not closed any more on the line
+        while at < len(part):
+            mark = part[at]
+            if mark in QUOTES and mark not in open_:
+                stop = part.find(QUOTES[mark], at + 1)
+                if stop > 0:
+                    out.append((line + at, line + stop))
+                    at = stop
+                else:
+                    open_.add(mark)
+            at += 1
+        line += len(part) + 1
     return out
 
 
