@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import ctypes
+import re
 import tempfile
 import uuid
 import zlib
@@ -24,50 +26,85 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, also with dots or backticks in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unused(df: DataFrame, *wanted: str) -> list[str]:
+    """Names like those wanted that no column of df has (case apart)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 class Scratch:
     """A folder of its own under ``spark.checkpoint.dir`` for tables that cut lineage.
 
-    The setting is read from the session; only where it is unset (tests, local runs) a temporary
-    folder takes its place. Every executor sees the tables, so losing one executor loses nothing.
+    The setting is read from the session; only where it is unset and the master is local (tests) a temporary
+    folder takes its place, on a cluster that is an error. Every executor sees the tables, so losing one executor
+    loses nothing. Tables go when they are dropped, the rest when the driver ends.
     """
 
     _own: str | None = None
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        conf = spark.sparkContext.getConf()
+        base = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
         if not base:
+            if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+                raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
             if Scratch._own is None:
                 Scratch._own = tempfile.mkdtemp(prefix="reelquery-")
             base = f"file://{Scratch._own}"
         self.path = f"{base.rstrip('/')}/rq-{uuid.uuid4().hex}"
-        self.tables: list[str] = []
+        self.tables: dict[str, str] = {}
         atexit.register(self.close)
 
+    @contextlib.contextmanager
+    def _own_shuffles(self):
+        """What is written in here is never computed again, so its shuffle files go as soon as it is written."""
+        name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(name, "false")
+        self.spark.conf.set(name, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.set(name, before)
+
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Writes df and returns it as read back."""
         to = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(to)
+        with self._own_shuffles():
+            df.write.mode("overwrite").parquet(to)
         return self.spark.read.schema(df.schema).parquet(to)
 
     def write_run(self, df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
-        """Writes df bucketed and sorted by keys, so that joins and merges on them don't shuffle it again."""
+        """Writes df, dealt by keys into as many partitions, bucketed and sorted by keys, so that joins and merges on them don't shuffle it again."""
         named = f"rq_{uuid.uuid4().hex}"
-        (df.repartition(buckets, *keys).write.mode("overwrite").option("path", f"{self.path}/{name}")
-         .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(named))
-        self.tables.append(named)
+        with self._own_shuffles():
+            (df.write.mode("overwrite").option("path", f"{self.path}/{name}").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(named))
+        self.tables[name] = named
         return self.spark.table(named)
 
-    def drop(self, name: str = "") -> None:
-        """Deletes one table, or all."""
+    def drop(self, *names: str) -> None:
+        """Deletes the tables named, or all."""
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        for name in names or ("",):
+            for k in [name] if name else list(self.tables):
+                if k in self.tables:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(k)}")
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def close(self) -> None:
         try:
-            for named in self.tables:
-                self.spark.sql(f"DROP TABLE IF EXISTS {named}")
             self.drop()
         except Exception:  # noqa: BLE001  the session is gone; the folder belongs to it
             pass

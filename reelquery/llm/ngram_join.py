@@ -4,43 +4,43 @@ Sets of word shingles are arrays of 64-bit hashes; equal sets are one class, so
 The global n-gram order puts n-grams that repeat most last: each task counts the n-grams that occur in
 two or more of its classes, the counts are summed, and the most frequent ones (``MOST_FREQUENT`` at most, a
 fixed bound) form the order's tail; all others come before them by hash. Any order gives the same links;
-this one keeps frequent passages out of prefixes.
+this one keeps frequent passages out of prefixes. The order is cut into ``FRAGMENTS`` fragments by hash and one
+more, the tail; every set is cut at the same places.
 
 1. Candidates: two sets with Jaccard >= 75 % share an n-gram of their prefixes (the first
-   n - ceil(0.75 n) + 1 of each in the global order). Prefix rows meet by n-gram; lists of one class go,
-   and of lists with the same members one stays. A pair needs a list in which the n-grams from its place on are
-   enough in both sets (the first n-gram that two sets share has that property if they are alike).
-2. First round: in each list every class is paired with the first and the last one by hash. That is in
-   proportion to the list, and joins groups of near copies.
-3. Second round: lists are put in ``TRIES`` new orders, and each class outside its list's largest component is
-   paired with that component's next ones before and after. Last, every pair of different components that a
-   list still holds and that sizes and places allow. Pairs within a component need no check, so no link between
-   components is lost.
-4. Vertical partitioning: the n-grams, ordered by hash, are cut into ``FRAGMENTS`` fragments. The sets of
-   candidate pairs are cut likewise, overlaps are counted a fragment at a time, and summed per pair;
-   after the first fragment, pairs go that the others can't make up for.
+   n - ceil(0.75 n) + 1 of each in the global order). Prefix rows meet by n-gram; those alone, or without another
+   of like size, go, and lists with the same members become one, with the number of its n-grams. Rows of
+   the tail are dealt by row and counted by partial sums, so a hot n-gram isn't one task.
+2. Pairs: a list of ``SMALL`` members or fewer gives all its pairs. In a longer one every class is paired with
+   the first and the last one by hash, which is in proportion to the list. A pair is checked only if the sizes, the
+   places of the shared n-gram and the number of n-grams that the two prefixes share (summed over lists) allow 75 %.
+3. Vertical partitioning: the sets of candidate pairs are cut into fragments, and a fragment of a set is a row of its own.
+   The partial overlap of a pair is counted in each fragment apart, and the counts are summed per pair.
+4. Longer lists that still hold several components are put in ``TRIES`` new orders, and each class outside the
+   list's largest component is paired with that component's next ones before and after. Last, every pair of
+   different components that such a list still holds, in blocks of ``SALT`` rows. Pairs within a component need no
+   check, so no link between components is lost.
 
 Null, empty and wordless texts have empty sets and link with nothing. Texts with fewer words than a shingle
-are one n-gram. Rows with equal ids are told apart by their sets; null ids rank below all others in the work
-and stay null. An empty table gives an empty result. Columns other than the two named aren't read. Two
-different sets are taken for one if all 64 bits of their hashes agree.
+are one n-gram; very long texts are hashed whole, their sets being rows of at most a fragment each. Rows with equal
+ids are told apart by their sets; null ids rank below all others in the work and stay null. Ties (equal sizes, equal
+counts) are broken by hash and never change results. An empty table gives an empty result. Columns other than the two
+named aren't read. Two different sets are taken for one if all 64 bits of their hashes agree.
 """
 
 from __future__ import annotations
 
-import gc
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NO_ID, Scratch, connected_components, sliced, words_of
+from .common import NO_ID, Scratch, connected_components, quoted, sliced, unused, words_of
 
 WORDS, PERCENT = 5, 75
 FRAGMENTS, MOST_FREQUENT, FREQUENT_FROM, FLUSH = 4, 1 << 20, 2, 2_000_000
-SALT, TAIL_SALT, BITMAP, TRIES = 20_000, 64, 1 << 26, 8
+SMALL, SALT, HOT, BITMAP, TRIES = 8, 20_000, 5_000, 1 << 26, 8
 _K, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -114,6 +114,7 @@ class Order:
     def __init__(self, grams: np.ndarray, counts: np.ndarray):
         by = grams.argsort()
         self.grams, self.counts = grams[by], counts[by]
+        self.pivots = np.array([k * 2**64 // FRAGMENTS for k in range(1, FRAGMENTS)], np.uint64)
 
     def tail(self, s: np.ndarray) -> np.ndarray:
         """Counts of those in the tail, 0 for others."""
@@ -122,13 +123,21 @@ class Order:
         at = np.minimum(np.searchsorted(self.grams, s), len(self.grams) - 1)
         return np.where(self.grams[at] == s, self.counts[at], 0)
 
+    def cut(self, s: np.ndarray) -> list[np.ndarray]:
+        """The FRAGMENTS + 1 parts of a sorted set."""
+        last = self.tail(s) > 0
+        rest = s[~last]
+        return [*np.split(rest, np.searchsorted(rest, self.pivots)), s[last]]
+
 
 def _prefixes(docs: DataFrame, order, width: int, percent: int) -> DataFrame:
+    """A row for each n-gram of a class's prefix: place is its number in the prefix, negative (-1 - place) in the tail."""
+
     def run(batches):
         ranks = Order(*order.value)
         seen: set[int] = set()
         for b in sliced(batches):
-            grams, sigs, sizes, tails, places = [], [], [], [], []
+            grams, sigs, sizes, places = [], [], [], []
             for text in b.column(1).to_pylist():
                 s = shingles(text, width)
                 if not len(s) or (sig := signature(s)) in seen:
@@ -136,15 +145,100 @@ def _prefixes(docs: DataFrame, order, width: int, percent: int) -> DataFrame:
                 seen.add(sig)
                 tail = ranks.tail(s)
                 first = np.lexsort((s, tail))[: prefix_size(len(s), percent)]
+                place = np.arange(len(first))
                 grams.append(s[first])
-                tails.append(tail[first] > 0)
-                places.append(np.arange(len(first)))
+                places.append(np.where(tail[first] > 0, -1 - place, place))
                 sigs.append(np.full(len(first), sig, np.int64))
                 sizes.append(np.full(len(first), len(s), np.int32))
             if grams:
-                yield pa.RecordBatch.from_arrays([_longs(np.concatenate(grams)), pa.array(np.concatenate(sigs)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(tails)), pa.array(np.concatenate(places).astype(np.int32))], ["gram", "sig", "n", "tail", "pos"])
+                yield pa.RecordBatch.from_arrays([_longs(np.concatenate(grams)), pa.array(np.concatenate(sigs)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(places).astype(np.int32))], ["gram", "sig", "n", "place"])
+
+    return docs.mapInArrow(run, "gram long, sig long, n int, place int")
+
 
-    return docs.mapInArrow(run, "gram long, sig long, n int, tail boolean, pos int")
+def _runs(gram: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, int)
+
+
+def _meet(posts: DataFrame, percent: int) -> DataFrame:
+    """Rows that meet others: (list, sig, n, pos, c) outside the tail, where list is a hash of the members; and (n-gram, sig, n, pos, null) in the tail.
+
+    Rows outside the tail are dealt by n-gram; each task holds at most one class of them twice, so lists are no longer
+    than there are tasks, but for n-grams beyond the tail's bound. Rows of the tail are dealt by n-gram and class.
+    """
+    n_parts = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.col("place") < 0
+    dealt = posts.repartition(n_parts, F.when(hot, F.xxhash64("gram", "sig")).otherwise(F.col("gram"))).sortWithinPartitions("gram")
+    schema = pa.schema([("gram", pa.int64()), ("sig", pa.int64()), ("n", pa.int64()), ("pos", pa.int64()), ("c", pa.int64())])
+
+    def run(batches):
+        held: list[np.ndarray] = []  # rows of the last n-gram, which may go on
+
+        def done(rows: list[np.ndarray]):
+            gram, sig, n, place = rows
+            hot = place < 0
+            out = [pa.RecordBatch.from_arrays([pa.array(gram[hot]), pa.array(sig[hot]), pa.array(n[hot]), pa.array(-1 - place[hot]), pa.nulls(int(hot.sum()), pa.int64())], schema=schema)]
+            gram, sig, n, place = (x[~hot] for x in rows)
+            # alone in the list: most rows
+            again = np.zeros(len(gram), bool)
+            if len(gram):
+                same = gram[1:] == gram[:-1]
+                again[1:] |= same
+                again[:-1] |= same
+            gram, sig, n, place = (x[again] for x in (gram, sig, n, place))
+            by = np.lexsort((place, sig, n, gram))
+            gram, sig, n, place = (x[by] for x in (gram, sig, n, place))
+            if len(gram):
+                # a class that several tasks gave: the same row twice
+                new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (sig[1:] != sig[:-1])])
+                gram, sig, n, place = (x[new] for x in (gram, sig, n, place))
+                alike = (gram[1:] == gram[:-1]) & (100 * n[:-1] >= percent * n[1:])
+                near = np.zeros(len(gram), bool)
+                near[1:] |= alike
+                near[:-1] |= alike
+                gram, sig, n, place = (x[near] for x in (gram, sig, n, place))
+            if len(gram):
+                at = _runs(gram)
+                c = np.diff(np.append(at, len(gram)))
+                mixed = sig.view(np.uint64) * _A
+                mixed = (mixed ^ (mixed >> np.uint64(29))) * _B
+                key = np.bitwise_xor.reduceat(mixed ^ (mixed >> np.uint64(32)), at) + c.astype(np.uint64) * _K
+                out.append(pa.RecordBatch.from_arrays([pa.array(np.repeat(key, c).view(np.int64)), pa.array(sig), pa.array(n), pa.array(place), pa.array(np.repeat(c, c))], schema=schema))
+            return out
+
+        for b in batches:
+            rows = [b.column(k).to_numpy().astype(np.int64) for k in range(4)]
+            if held:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            last = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0
+            held = [x[last:] for x in rows]
+            if last:
+                yield from done([x[:last] for x in rows])
+        if held:
+            yield from done(held)
+
+    return dealt.mapInArrow(run, "gram long, sig long, n long, pos long, c long")
+
+
+def _by_list(rows: DataFrame, info: DataFrame) -> DataFrame:
+    """rows joined with the row of their list in info (gram, c = number of rows, ...).
+
+    Lists of more than a HOT-th of all rows, fewer than HOT of them, are sent to the rows, which so don't meet in one task.
+    """
+    total = info.agg(F.sum("c")).first()[0] or 0
+    hot = F.col("c") > total / HOT
+    few, many = F.broadcast(info.where(hot)), info.where(~hot)
+    return rows.join(few, "gram").unionByName(rows.join(few.select("gram"), "gram", "left_anti").join(many, "gram"))
+
+
+def _lists(met: DataFrame, scratch: Scratch) -> DataFrame:
+    """(gram, sig, n, c, pos, k): lists by their members; pos is the first place of a member in any of the k n-grams that are merged."""
+    cold, hot = met.where("c is not null"), met.where("c is null").select("gram", "sig", "n", "pos").distinct()
+    info = hot.groupBy("gram").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("sig")).alias("x"), F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("c > 1")
+    info = scratch.write(info.select("gram", "c", F.xxhash64("c", "x", "lo", "hi").alias("list")), "tail")
+    hot = _by_list(hot, info).select(F.col("list").alias("gram"), "sig", "n", "pos", "c")
+    return scratch.write(cold.unionByName(hot).groupBy("gram", "sig").agg(F.max("n").alias("n"), F.max("c").alias("c"), F.min("pos").alias("pos"), F.count("*").alias("k")), "lists")
 
 
 def _bits(id_col: str) -> list:
@@ -160,59 +254,50 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def _fragments(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(sig, its first fragment, the other fragments) of the sets of the named rows, and of a few more. Texts stay where they are: ids travel, as a bitmap."""
+def _fragments(docs: DataFrame, ids: DataFrame, order, width: int) -> DataFrame:
+    """(sig, part, grams): the sets of the named rows, and of a few more, cut into fragments. Texts stay where they are: ids travel, as a bitmap."""
     wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))  # BITMAP / 8 bytes
 
-    pivots = np.array([k * 2**64 // FRAGMENTS for k in range(1, FRAGMENTS)], np.uint64)
-
     def run(batches):
+        ranks = Order(*order.value)
         seen: set[int] = set()
-        for b in sliced(batches):
+        for b in sliced(batches, 200):
             hit = np.ones(len(b), bool)
             for k in (1, 2):
                 bit = b.column(k).to_numpy(zero_copy_only=False)
                 hit &= (wanted.value[bit >> 6] >> (bit & 63)) & 1 == 1
-            sigs, parts = [], []
+            sigs, parts, cuts = [], [], []
             for text in b.column(0).filter(pa.array(hit)).to_pylist():
                 s = shingles(text, width)
                 sig = signature(s)
                 if sig in seen:
                     continue
                 seen.add(sig)
-                sigs.append(sig)
-                parts.append([v.view(np.int64) for v in np.split(s, np.searchsorted(s, pivots))])
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array([p[0] for p in parts], longs), pa.array([p[1:] for p in parts], pa.list_(longs))], ["sig", "head", "rest"])
+                for k, part in enumerate(ranks.cut(s)):
+                    if len(part):
+                        sigs.append(sig)
+                        parts.append(k)
+                        cuts.append(part.view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(parts, pa.int32()), pa.array(cuts, pa.list_(pa.int64()))], ["sig", "part", "grams"])
 
-    return docs.select("text", *[x.alias(f"k{k}") for k, x in enumerate(_bits("id"))]).mapInArrow(run, "sig long, head array<long>, rest array<array<long>>")
+    return docs.select("text", *[x.alias(f"k{k}") for k, x in enumerate(_bits("id"))]).mapInArrow(run, "sig long, part int, grams array<long>")
 
 
-def _fetch(pairs: DataFrame, docs: DataFrame, classes: DataFrame, scratch: Scratch, name: str, width: int) -> DataFrame:
-    """The cut sets of all classes in pairs, bucketed by class: joins with pairs then move the pairs only."""
+def _fetch(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order, scratch: Scratch, name: str, width: int) -> DataFrame:
+    """The fragments of all classes in pairs, once each, bucketed by class and fragment: joins with pairs then move one side of the pairs only."""
     sigs = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-    sets = _fragments(docs, classes.join(sigs, "sig").select("id"), width)
-    return scratch.write_run(sets, f"sets{name}", ["sig"], int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sets = _fragments(docs, classes.join(sigs, "sig").select("id"), order, width)
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return scratch.write_run(sets.repartition(buckets, "sig", "part").dropDuplicates(["sig", "part"]), f"sets{name}", ["sig", "part"], buckets)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str, percent: int) -> DataFrame:
-    """Pairs (a, b, na, nb) whose overlaps, summed over fragments, are enough.
-
-    The first fragment is counted for all; pairs that can't be enough any more, were all else shared, go. A set
-    may be there more than once (a row of equal text in another task); its copies are equal, so maxima stand for all.
-    """
-    side = lambda x, part: sets.select(F.col("sig").alias(x), F.col(part).alias(f"g{x}"))
-    shared = lambda x, y: F.size(F.array_intersect(x, y)).cast("long")
-    key = ["a", "b", "na", "nb"]
-    enough = lambda o: 100 * o >= percent * (F.col("na") + F.col("nb") - o)
-    first = pairs.join(side("a", "head"), "a").join(side("b", "head"), "b").select(*key, shared(F.col("ga"), F.col("gb")).alias("o"), F.size("ga").alias("sa"), F.size("gb").alias("sb"))
-    first = first.groupBy(*key).agg(F.max("o").alias("o"), F.max("sa").alias("sa"), F.max("sb").alias("sb"))
-    left = scratch.write(first.where(enough(F.col("o") + F.least(F.col("na") - F.col("sa"), F.col("nb") - F.col("sb")))).select(*key, "o"), f"left{name}")
-    parts = F.aggregate(F.zip_with("ga", "gb", shared), F.lit(0).cast("long"), lambda s, x: s + x)
-    more = left.join(side("a", "rest"), "a").join(side("b", "rest"), "b").select("a", "b", parts.alias("r")).groupBy("a", "b").agg(F.max("r").alias("r"))
-    out = scratch.write(left.join(more, ["a", "b"]).where(enough(F.col("o") + F.col("r"))).select("a", "b"), f"links{name}")
-    _free(sets.sparkSession)
-    return out
+    """Pairs (a, b) whose overlaps, counted in each fragment and summed, are enough."""
+    side = lambda x: sets.select(F.col("sig").alias(x), "part", F.col("grams").alias(f"g{x}"))
+    cut = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS))).alias("part"))
+    partial = cut.join(side("a"), ["a", "part"]).join(side("b"), ["b", "part"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).cast("long").alias("o"))
+    summed = partial.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
+    return scratch.write(summed.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b"), f"links{name}")
 
 
 def _unite(roots: DataFrame | None, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -226,11 +311,12 @@ def _unite(roots: DataFrame | None, links: DataFrame, scratch: Scratch, name: st
     return scratch.write(ends.join(found, "root", "left").select("sig", F.coalesce("top", "root").alias("root")), f"roots{name}")
 
 
-def _open(lists: DataFrame, roots: DataFrame) -> DataFrame:
+def _open(lists: DataFrame, roots: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Lists of more than one component: rows with their component and the list's largest one (big)."""
-    placed = lists.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    groups = placed.groupBy("gram", "root").agg(F.count("*").alias("k")).groupBy("gram").agg(F.max_by("root", F.struct("k", "root")).alias("big"), F.count("*").alias("roots")).where("roots > 1")
-    return placed.join(groups.select("gram", "big"), "gram")
+    placed = scratch.write(lists.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig")), f"placed{name}")
+    groups = placed.groupBy("gram", "root").agg(F.count("*").alias("k")).groupBy("gram").agg(F.max_by("root", F.struct("k", "root")).alias("big"), F.count("*").alias("roots"), F.sum("k").alias("c")).where("roots > 1")
+    groups = scratch.write(groups.select("gram", "big", "c"), f"groups{name}")
+    return scratch.write(_by_list(placed.drop("c"), groups), f"open{name}")
 
 
 def _possible(percent: int):
@@ -246,45 +332,41 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
     return rows.where(_possible(percent)).select(pick("sig", "s").alias("a"), pick("s", "sig").alias("b"), pick("n", "m").alias("na"), pick("m", "n").alias("nb")).distinct()
 
 
-def _free(spark) -> None:
-    """Lets Spark delete the shuffle files of finished steps."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def _likely(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose prefixes share enough n-grams: what the prefixes don't share must come from the rest of one of the sets."""
+    rest = lambda n: F.ceil(F.col(n) * percent / 100) - 1
+    marks = lists.select("gram", "sig", "k")
+    both = pairs.join(marks.select(F.col("sig").alias("a"), "gram", "k"), "a").join(marks.select(F.col("sig").alias("b"), "gram"), ["b", "gram"])
+    most = F.col("shared") + F.greatest(rest("na"), rest("nb"))
+    return both.groupBy("a", "b", "na", "nb").agg(F.sum("k").alias("shared")).where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).drop("shared")
 
 
-def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row a document: id, n_shingles, component_id."""
+def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, Scratch]:
+    """(id, sig, n) of each row with null ids as NO_ID; and (sig, id, root) of each class."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).alias("text"))
+    d = docs.select(F.coalesce(quoted(id_col).cast("long"), F.lit(NO_ID)).alias("id"), quoted(text_col).alias("text"))
     scanned = scratch.write(_scan(d, width), "scan")
     rows = scanned.where("id is not null")
     classes = scratch.write(rows.where("n > 0").groupBy("sig").agg(F.min("id").alias("id"), F.max("n").alias("n")), "classes")
     often = scanned.where("id is null").groupBy("sig").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "sig").limit(MOST_FREQUENT).toArrow()
     order = spark.sparkContext.broadcast((often.column("sig").to_numpy().view(np.uint64), often.column("n").to_numpy()))  # 16 bytes x MOST_FREQUENT at most
 
-    posts = _prefixes(d, order, width, percent).withColumn("salt", F.when(F.col("tail"), F.pmod("sig", F.lit(TAIL_SALT))).otherwise(0))
-    # rows of an n-gram meet here; those of the tail may be hot, are spread, and all stay
-    here = Window.partitionBy("gram", "salt")
-    posts = posts.select("gram", "sig", "n", "pos", "tail", F.min("sig").over(here).alias("lo"), F.max("sig").over(here).alias("hi"))
-    lists = scratch.write(posts.where("lo <> hi or tail").select("gram", "sig", F.col("n").cast("long").alias("n"), F.col("pos").cast("long").alias("pos")).distinct(), "lists")
-    _free(spark)
-    same = lists.groupBy("gram").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("sig")).alias("x"), F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("c > 1")
-    one = scratch.write(same.select("gram", "c", F.xxhash64("c", "x", "lo", "hi").alias("list")), "one")
-    # of lists with the same members one stays, each member at its first place in any of them
-    lists = scratch.write(lists.join(one, "gram").groupBy(F.col("list").alias("gram"), "sig", "n", "c").agg(F.min("pos").alias("pos")), "distinct")
-    scratch.drop("lists")
-    _free(spark)
-
-    # in every list its first and last class by hash; lists of one group share them, so few pairs are new
-    spread = Window.partitionBy("gram", F.pmod("sig", F.ceil(F.col("c") / SALT)))
+    lists = _lists(scratch.write(_meet(_prefixes(d, order, width, percent), percent), "met"), scratch)
+    scratch.drop("met", "tail")
+    short, long = lists.where(F.col("c") <= SMALL), lists.where(F.col("c") > SMALL)
+
+    # all pairs of short lists; in long ones the first and last class by hash: lists of one group share them, so few pairs are new
     row = F.struct(F.col("sig").alias("s"), F.col("n").alias("m"), F.col("pos").alias("p"))
-    near = lists.select("sig", "n", "pos", F.array(F.min(row).over(spread), F.max(row).over(spread)).alias("os")).select("sig", "n", "pos", F.explode("os").alias("o")).where("o.s <> sig").select("sig", "n", "pos", "o.*")
-    first = scratch.write(_pairs(near, percent), "pairs1")
-    sets = _fetch(first, d, classes, scratch, "1", width)
+    all_of = short.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("sig", "n", "pos"))).alias("rows")).select("rows", F.explode("rows").alias("x"))  # SMALL rows at most
+    within = all_of.select("x.*", F.explode(F.filter("rows", lambda y: y["sig"] > F.col("x.sig"))).alias("y")).select("sig", "n", "pos", F.col("y.sig").alias("s"), F.col("y.n").alias("m"), F.col("y.pos").alias("p"))
+    spread = Window.partitionBy("gram", F.pmod("sig", F.ceil(F.col("c") / SALT)))
+    ends = long.select("sig", "n", "pos", F.array(F.min(row).over(spread), F.max(row).over(spread)).alias("os")).select("sig", "n", "pos", F.explode("os").alias("o")).where("o.s <> sig").select("sig", "n", "pos", "o.*")
+    first = scratch.write(_likely(_pairs(within.unionByName(ends), percent), lists, percent), "pairs1")
+    sets = _fetch(first, d, classes, order, scratch, "1", width)
     roots = _unite(None, _verify(first, sets, scratch, "1", percent), scratch, "1")
 
     # one round in TRIES new orders; a pair without sets waits for the last round
-    open_ = scratch.write(_open(lists, roots), "open2")
+    open_ = _open(long, roots, scratch, "2")
     big = F.when(F.col("root") == F.col("big"), row)
     beside = []
     for x in range(TRIES):
@@ -293,19 +375,27 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     near = open_.select("*", F.array(*beside).alias("os")).where("root <> big").select("sig", "n", "pos", F.explode(F.array_distinct("os")).alias("o")).where("o is not null").select("sig", "n", "pos", "o.*")
     have = sets.select("sig").distinct()
     near = _pairs(near, percent).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = scratch.write(near.join(have.withColumnRenamed("sig", "a"), "a", "left_semi").join(have.withColumnRenamed("sig", "b"), "b", "left_semi"), "pairs2")
+    near = near.join(have.withColumnRenamed("sig", "a"), "a", "left_semi").join(have.withColumnRenamed("sig", "b"), "b", "left_semi")
+    second = scratch.write(_likely(near, lists, percent), "pairs2")
     roots = _unite(roots, _verify(second, sets, scratch, "2", percent), scratch, "2")
-    scratch.drop("sets1")
+    scratch.drop("sets1", "placed2", "groups2", "open2")
 
-    open_ = scratch.write(_open(lists, roots), "open3")
-    others = open_.where("root <> big").select("gram", F.col("sig").alias("s"), F.col("n").alias("m"), F.col("pos").alias("p"), F.col("root").alias("r"))
-    pairs = others.join(open_.select("gram", "sig", "n", "pos", "root", "big"), "gram").where("r <> root and (root = big or s < sig)").where(_possible(percent))
+    # every pair of different components left, a list's rows in blocks of SALT
+    open_ = _open(long, roots, scratch, "3").withColumn("blocks", F.ceil(F.col("c") / SALT).cast("int"))
+    others = open_.where("root <> big").select("gram", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("sig").alias("s"), F.col("n").alias("m"), F.col("pos").alias("p"), F.col("root").alias("r"))
+    pairs = others.join(open_.select("gram", F.pmod("sig", "blocks").cast("int").alias("block"), "sig", "n", "pos", "root", "big"), ["gram", "block"]).where("r <> root and (root = big or s < sig)").where(_possible(percent))
     tried = first.select("a", "b").union(second.select("a", "b"))
-    rest = scratch.write(_pairs(pairs, percent).join(tried, ["a", "b"], "left_anti"), "pairs3")
-    roots = _unite(roots, _verify(rest, _fetch(rest, d, classes, scratch, "3", width), scratch, "3", percent), scratch, "3")
-    scratch.drop("sets3")
-
+    rest = scratch.write(_likely(_pairs(pairs, percent).join(tried, ["a", "b"], "left_anti"), lists, percent), "pairs3")
+    scratch.drop("placed3", "groups3", "open3", "lists")
+    roots = _unite(roots, _verify(rest, _fetch(rest, d, classes, order, scratch, "3", width), scratch, "3", percent), scratch, "3")
     mapped = scratch.write(classes.select("sig", "id").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig")), "mapped")
+    scratch.drop("sets3", "classes", *(f"{kind}{k}" for kind in ("pairs", "links", "ends", "roots") for k in (1, 2, 3)))
+    return rows, mapped, scratch
+
+
+def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One row a document: id, n_shingles, component_id."""
+    rows, mapped, _ = _components(docs, id_col, text_col, width, percent)
     least = mapped.groupBy("root").agg(F.min("id").alias("component"))
     mapped = mapped.join(least, "root").select("sig", "component")
     out = rows.join(mapped, "sig", "left")
@@ -314,7 +404,18 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each component, that of the smallest id, with all its columns. Rows without an id link within the work but stay."""
-    found = ngram_join(docs, id_col, text_col)
-    keep = found.where(F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
+    """One document of each component, that of the smallest id, with all its columns.
+
+    Of rows with that id and equal texts one stays, whichever; rows with that id and other texts stay too. Null ids are one id below all
+    others. A document without words is a component of its own.
+    """
+    rows, mapped, scratch = _components(docs, id_col, text_col, WORDS, PERCENT)
+    least = mapped.groupBy("root").agg(F.min("id").alias("id")).select("id")
+    keep = scratch.write(least.union(rows.where("n = 0").select("id")).distinct(), "keep")
+    key, mark = unused(docs, "key", "mark")
+    d = docs.withColumn(key, F.coalesce(quoted(id_col).cast("long"), F.lit(NO_ID)))
+    d = d.join(keep.withColumnRenamed("id", key), key, "left_semi")
+    if rows.groupBy("id").count().where("count > 1").limit(1).count():
+        same = Window.partitionBy(key, F.xxhash64(quoted(text_col)), F.xxhash64(F.lit("2nd"), quoted(text_col))).orderBy(key)
+        d = d.withColumn(mark, F.row_number().over(same)).where(F.col(mark) == 1)
+    return d.select(*[quoted(c) for c in docs.columns])
