@@ -7,9 +7,10 @@ this batch becomes its keeper; of a line known before, only the count is added.
 sorted by hash. As soon as a level has ``FANOUT`` runs they are compacted into one run of the next
 level, and at the end all levels into one, whose lines with enough documents are the frequent ones.
 
-Null ids rank below all others. Null and empty texts are one empty line. Each row counts as a document
-of its own, also when ids repeat; rows that share the largest id all keep the line. An empty table gives
-an empty result. Columns other than the two named are not read.
+Null ids are one id below all others. Null and empty texts are one empty line. Rows with equal ids are one document
+where documents are counted, and each gives a row of the result; rows that share the largest id all keep the line.
+Very long texts are split as they are, a line of theirs being one row. An empty table gives an empty result. Columns
+other than the two named are not read.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, BLANKS, Scratch, ascii_lower
+from .common import NO_ID, BLANKS, Scratch, ascii_lower, quoted
 
 MIN_CHARS, MIN_DOCS = 20, 3
-BATCHES, FANOUT, HOT = 4, 2, 5000
+BATCHES, FANOUT, HOT, BUCKET_ROWS = 4, 2, 5000, 5_000_000
 HASH = ["h1", "h2"]
 
 
@@ -41,7 +42,7 @@ class LineIndex:
 
     def _write(self, df: DataFrame) -> tuple[str, DataFrame]:
         self.made += 1
-        return (name := f"run{self.made}"), self.scratch.write_run(df, name, HASH, self.buckets)
+        return (name := f"run{self.made}"), self.scratch.write_run(df.repartition(self.buckets, *HASH), name, HASH, self.buckets)
 
     def _merge(self, runs: list[tuple[str, DataFrame]]) -> tuple[str, DataFrame]:
         if len(runs) == 1:
@@ -80,27 +81,29 @@ class LineIndex:
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES, carry: bool = False) -> DataFrame:
     """One row a document: id, n_lines, n_dropped, text (the lines that stay, joined by line feeds).
 
-    With carry, the columns of docs instead, in their order, and the new text in place of the old.
+    With carry, the columns of docs instead, in their order, and the new text in place of the old; a null text stays null.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    d = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), (F.struct(*docs.columns) if carry else F.struct(id_col)).alias("own"), F.col(text_col).alias("text"))
+    own = F.struct(*[quoted(c).alias(c) for c in (docs.columns if carry else [id_col])])
+    d = docs.select(F.coalesce(quoted(id_col).cast("long"), F.lit(NO_ID)).alias("id"), own.alias("own"), quoted(text_col).alias("text"))
     hashes = lambda: F.transform(_lines("text"), _hashed)
 
     def _hashed(line: Column) -> Column:
         key = line_key(line)
         return F.when(F.char_length(line) >= min_chars, F.when(F.char_length(key) >= min_chars, F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("2nd"), key).alias("h2"))))
 
-    lines = scratch.write(d.select("id", F.explode(F.array_distinct(hashes())).alias("h")).where("h is not null").select("h.h1", "h.h2", "id"), "lines")
-    index = LineIndex(scratch, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ends = lines.agg(F.min("id"), F.max("id")).first()
-    if ends[0] is None:
-        ends = (0, 0)
-    low = max(ends[0], -(2**62))  # a null id doesn't stretch the ranges
-    cuts = [low + (ends[1] - low + 1) * k // batches for k in range(batches)]
-    for k in reversed(range(batches)):
-        part = lines if k == 0 else lines.where(F.col("id") >= cuts[k])
-        index.add(part if k == batches - 1 else part.where(F.col("id") < cuts[k + 1]))
+    lines = d.select("id", F.explode(F.array_distinct(hashes())).alias("h")).where("h is not null").select("h.h1", "h.h2", "id")
+    if d.groupBy("id").count().where("count > 1").limit(1).count():
+        lines = lines.distinct()
+    lines = scratch.write(lines, "lines")
+    # batches of like size; cuts change the work only
+    n, cuts = lines.agg(F.count("*"), F.percentile_approx("id", [k / batches for k in range(1, batches)] or [0.5], 1000)).first()
+    cuts = sorted(set(cuts or []) if batches > 1 else set(), reverse=True)
+    index = LineIndex(scratch, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // BUCKET_ROWS)))
+    for upper, lower in zip([None, *cuts], [*cuts, None], strict=True):
+        part = lines if lower is None else lines.where(F.col("id") > lower)
+        index.add(part if upper is None else part.where(F.col("id") <= upper))
     index_rows = index.compact()
     total = index_rows.agg(F.sum("n")).first()[0] or 0
     frequent = index_rows.where(F.col("n") >= min_docs)
@@ -112,5 +115,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.filter(_lines("text"), lambda x: ~F.coalesce(F.array_contains(F.col("drop"), _hashed(x)["h1"]), F.lit(False)))
     out = d.join(drops, "id", "left").select("own", "text", F.when(F.col("drop").isNull(), _lines("text")).otherwise(kept).alias("kept"))
     if carry:
-        return out.select(*[(F.array_join("kept", "\n") if c == text_col else F.col("own")[c]).alias(c) for c in docs.columns])
+        return out.select(*[(F.when(F.col("text").isNotNull(), F.array_join("kept", "\n")) if c == text_col else F.col("own")[c]).alias(c) for c in docs.columns])
     return out.select(F.col("own")[id_col].alias(id_col), F.size(_lines("text")).cast("long").alias("n_lines"), (F.size(_lines("text")) - F.size("kept")).cast("long").alias("n_dropped"), F.array_join("kept", "\n").alias("text"))

@@ -12,8 +12,8 @@ from reelquery.llm import embedding_dedup, language_id, license_scan, line_dedup
 LONG = " ".join(f"word{k % 977} idiot" for k in range(60_000))
 LINE = "the same line in several documents"
 #: Names that the operators use inside stand here as columns of the table.
-COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, id long, n long, sig long, h1 long, _w string, score double, keeper long, _text string, epoch int, block int, pos int, n_tokens long"
-FILL = (1, 2, 3, 4, "w", 0.5, 6, "t", 7, 8, 9, 10)
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, id long, n long, sig long, h1 long, _w string, score double, keeper long, _text string, epoch int, block int, pos int, n_tokens long, _id long, _last int, _epoch int, `a.b` long, key long, mark int, own string"
+FILL = (1, 2, 3, 4, "w", 0.5, 6, "t", 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, "o")
 
 
 def docs(spark, rows):
@@ -61,7 +61,16 @@ def test_line_dedup(messy):
     assert (got[4].n_lines, got[4].n_dropped, got[4].text) == (1, 0, "")
     assert got[7].text == LONG and got[6].n_lines == 2
     carried = line_dedup.line_dedup(messy, carry=True)
+    rows = {r.doc_id: r for r in carried.collect()}
     assert carried.columns == messy.columns and carried.count() == 12
+    assert rows[1].text == "first" and rows[4].text is None and rows[5].text == "" and rows[1]["a.b"] == 14
+
+
+def test_rows_with_one_id_are_one_document(spark):
+    d = docs(spark, [(k, LINE, "en", "a", 1) for k in (1, 1, 1, 2)])
+    assert {r.n_dropped for r in line_dedup.line_dedup(d).collect()} == {0}
+    d = docs(spark, [(k, LINE, "en", "a", 1) for k in (1, 2, 3, 3)])
+    assert by_id(line_dedup.line_dedup(d), "n_dropped") == [(1, 1), (2, 1), (3, 0), (3, 0)]
 
 
 def test_lines_in_two_documents_stay(spark):
@@ -151,7 +160,15 @@ def test_ngram_join(messy):
     assert (got[4].n_shingles, got[4].component_id) == (0, 4) and got[6].component_id == 6
     assert got[8].n_shingles == 1 and got[8].component_id == 8
     assert got[None].component_id is None
-    assert ngram_join.keep_one(messy).columns == messy.columns
+    once = ngram_join.keep_one(messy)
+    assert once.columns == messy.columns
+    assert sorted((r.doc_id for r in once.collect()), key=repr) == sorted([1, 2, 3, 4, 5, 6, 7, 8, 9, 10, None], key=repr)
+
+
+def test_one_of_repeated_rows_stays(spark):
+    a, b = "one two three four five six", "another text of some words here"
+    d = docs(spark, [(1, a, "en", "a", 1), (1, a, "en", "a", 1), (2, a, "en", "a", 1), (3, b, "en", "a", 1), (3, "", "en", "a", 1), (3, "", "en", "a", 1)])
+    assert sorted((r.doc_id, r.text) for r in ngram_join.keep_one(d).collect()) == [(1, a), (3, ""), (3, b)]
 
 
 def test_embeddings(spark):
