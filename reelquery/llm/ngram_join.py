@@ -40,7 +40,9 @@ from .common import NO_ID, Scratch, connected_components, quoted, sliced, unused
 
 WORDS, PERCENT = 5, 75
 FRAGMENTS, MOST_FREQUENT, FREQUENT_FROM, FLUSH = 4, 1 << 20, 2, 2_000_000
-SMALL, SALT, HOT, BITMAP, TRIES = 8, 20_000, 5_000, 1 << 26, 8
+SMALL, SALT, HOT, BITMAP, TRIES = 8, 5_000, 5_000, 1 << 26, 8
+#: The low bits of a mark.
+MARK = (1 << 16) - 1
 _K, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -332,13 +334,20 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
     return rows.where(_possible(percent)).select(pick("sig", "s").alias("a"), pick("s", "sig").alias("b"), pick("n", "m").alias("na"), pick("m", "n").alias("nb")).distinct()
 
 
-def _likely(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+def _marks(lists: DataFrame, scratch: Scratch) -> DataFrame:
+    """(sig, marks): a number for each list of a class, of its hash and, in the bits of MARK, of how many n-grams it stands for (all set: so many or more)."""
+    mark = F.col("gram").bitwiseAND(F.lit(~MARK)).bitwiseOR(F.least("k", F.lit(MARK)))
+    return scratch.write(lists.groupBy("sig").agg(F.collect_set(mark).alias("marks")), "marks")
+
+
+def _likely(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     """Pairs whose prefixes share enough n-grams: what the prefixes don't share must come from the rest of one of the sets."""
     rest = lambda n: F.ceil(F.col(n) * percent / 100) - 1
-    marks = lists.select("gram", "sig", "k")
-    both = pairs.join(marks.select(F.col("sig").alias("a"), "gram", "k"), "a").join(marks.select(F.col("sig").alias("b"), "gram"), ["b", "gram"])
+    side = lambda x: marks.select(F.col("sig").alias(x), F.col("marks").alias(f"m{x}"))
+    count = lambda s, x: s + F.when(x.bitwiseAND(F.lit(MARK)) == MARK, F.lit(1 << 40)).otherwise(x.bitwiseAND(F.lit(MARK)))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", F.aggregate(F.array_intersect("ma", "mb"), F.lit(0).cast("long"), count).alias("shared"))
     most = F.col("shared") + F.greatest(rest("na"), rest("nb"))
-    return both.groupBy("a", "b", "na", "nb").agg(F.sum("k").alias("shared")).where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).drop("shared")
+    return both.where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).drop("shared")
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> tuple[DataFrame, DataFrame, Scratch]:
@@ -353,6 +362,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent
 
     lists = _lists(scratch.write(_meet(_prefixes(d, order, width, percent), percent), "met"), scratch)
     scratch.drop("met", "tail")
+    marks = _marks(lists, scratch)
     short, long = lists.where(F.col("c") <= SMALL), lists.where(F.col("c") > SMALL)
 
     # all pairs of short lists; in long ones the first and last class by hash: lists of one group share them, so few pairs are new
@@ -361,7 +371,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     within = all_of.select("x.*", F.explode(F.filter("rows", lambda y: y["sig"] > F.col("x.sig"))).alias("y")).select("sig", "n", "pos", F.col("y.sig").alias("s"), F.col("y.n").alias("m"), F.col("y.pos").alias("p"))
     spread = Window.partitionBy("gram", F.pmod("sig", F.ceil(F.col("c") / SALT)))
     ends = long.select("sig", "n", "pos", F.array(F.min(row).over(spread), F.max(row).over(spread)).alias("os")).select("sig", "n", "pos", F.explode("os").alias("o")).where("o.s <> sig").select("sig", "n", "pos", "o.*")
-    first = scratch.write(_likely(_pairs(within.unionByName(ends), percent), lists, percent), "pairs1")
+    first = scratch.write(_likely(_pairs(within.unionByName(ends), percent), marks, percent), "pairs1")
     sets = _fetch(first, d, classes, order, scratch, "1", width)
     roots = _unite(None, _verify(first, sets, scratch, "1", percent), scratch, "1")
 
@@ -376,7 +386,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     have = sets.select("sig").distinct()
     near = _pairs(near, percent).join(first.select("a", "b"), ["a", "b"], "left_anti")
     near = near.join(have.withColumnRenamed("sig", "a"), "a", "left_semi").join(have.withColumnRenamed("sig", "b"), "b", "left_semi")
-    second = scratch.write(_likely(near, lists, percent), "pairs2")
+    second = scratch.write(_likely(near, marks, percent), "pairs2")
     roots = _unite(roots, _verify(second, sets, scratch, "2", percent), scratch, "2")
     scratch.drop("sets1", "placed2", "groups2", "open2")
 
@@ -385,8 +395,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     others = open_.where("root <> big").select("gram", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("sig").alias("s"), F.col("n").alias("m"), F.col("pos").alias("p"), F.col("root").alias("r"))
     pairs = others.join(open_.select("gram", F.pmod("sig", "blocks").cast("int").alias("block"), "sig", "n", "pos", "root", "big"), ["gram", "block"]).where("r <> root and (root = big or s < sig)").where(_possible(percent))
     tried = first.select("a", "b").union(second.select("a", "b"))
-    rest = scratch.write(_likely(_pairs(pairs, percent).join(tried, ["a", "b"], "left_anti"), lists, percent), "pairs3")
-    scratch.drop("placed3", "groups3", "open3", "lists")
+    rest = scratch.write(_likely(_pairs(pairs, percent).join(tried, ["a", "b"], "left_anti"), marks, percent), "pairs3")
+    scratch.drop("placed3", "groups3", "open3", "lists", "marks")
     roots = _unite(roots, _verify(rest, _fetch(rest, d, classes, order, scratch, "3", width), scratch, "3", percent), scratch, "3")
     mapped = scratch.write(classes.select("sig", "id").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig")), "mapped")
     scratch.drop("sets3", "classes", *(f"{kind}{k}" for kind in ("pairs", "links", "ends", "roots") for k in (1, 2, 3)))
