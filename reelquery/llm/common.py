@@ -10,9 +10,10 @@ import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from sys import getsizeof
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: ASCII white space, as every contract of this package names it.
@@ -20,6 +21,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Stands in for a null id, below every real one.
 NO_ID = -(2**63)
+#: What a Python worker takes at once, what its memos hold, and what an entry of a dict costs besides its key.
+SLICE_BYTES, MEMO_BYTES, ENTRY_BYTES = 8 << 20, 96 << 20, 120
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -146,14 +149,26 @@ def in_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema
     return df.mapInArrow(run, schema)
 
 
-def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Batches of few rows, so that a worker holds little besides; at the end the task's memory goes back to the system."""
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows and about `most` bytes (or one row), so that a worker holds little besides; at the end the task's memory goes back to the system."""
     for b in batches:
-        for k in range(0, len(b), rows):
-            yield b.slice(k, rows)
+        at = 0
+        while at < len(b):
+            part = b.slice(at, rows)
+            while len(part) > 1 and part.nbytes > most:
+                part = part.slice(0, len(part) // 2)
+            yield part
+            at += len(part)
     trim()
 
 
+def within_chars(rows: DataFrame, group: str, text: str, order: str, most: int) -> DataFrame:
+    """Of each group the first rows by a hash of order, up to the one whose text passes `most` code points in all."""
+    w = Window.partitionBy(group).orderBy(F.xxhash64(F.lit("sample"), order), order).rowsBetween(Window.unboundedPreceding, -1)
+    before, = unused(rows, "before")
+    return rows.withColumn(before, F.coalesce(F.sum(F.coalesce(F.char_length(text), F.lit(0))).over(w), F.lit(0))).where(F.col(before) < most).drop(before)
+
+
 def trim() -> None:
     """Workers are kept between tasks; what one has freed would otherwise stay with the worker."""
     pa.default_memory_pool().release_unused()
@@ -164,16 +179,18 @@ def trim() -> None:
 
 
 class Memo(dict):
-    """A dict that works out what it lacks, and starts anew when full, so a task's memory stays bounded."""
+    """A dict from texts that works out what it lacks, and starts anew at so many bytes, so a task's memory stays bounded however long keys are."""
 
-    def __init__(self, work: Callable, most: int = 400_000):
+    def __init__(self, work: Callable, most: int = MEMO_BYTES):
         super().__init__()
-        self.work, self.most = work, most
+        self.work, self.most, self.held = work, most, 0
 
     def __missing__(self, key):
-        if len(self) >= self.most:
+        if self.held >= self.most:
             self.clear()
+            self.held = 0
         self[key] = value = self.work(key)
+        self.held += ENTRY_BYTES + getsizeof(key)
         return value
 
 

@@ -4,15 +4,17 @@ A language is a distribution over the pieces of a fixed public vocabulary. The p
 the sum, over all ways to cut it into pieces, of the product of the pieces' probabilities; the forward
 algorithm gets it without listing the cuts. Piece probabilities come from expectation maximisation with
 the forward-backward algorithm over a bounded sample of labelled documents (``SAMPLE`` of them in all,
-at most), with all words of theirs; everything else covers whole texts of all documents. Every language of
-the labels is learned; more than ``MAX_LANGS`` are an error.
+at most, and ``SAMPLE_CHARS`` code points, shared out to the languages), with all words of theirs; everything else covers
+whole texts of all documents. Every language of the labels is learned; more than ``MAX_LANGS`` are an error.
 
-Words are runs of letters, lower-cased. The algorithm runs for many words at once, one step a word
-position and piece length, and each distinct word is scored once a task.
+Words are runs of letters (Unicode category L), lower-cased. The algorithm runs for many words at once, one step a word
+position and piece length, and each distinct word is scored once a task. Words of more than ``MANY`` letters go one by one,
+in logarithms and over as many positions as the longest piece has letters, so they may be of any length and nothing is cut.
 
 ``und`` with score 0 is the result for null, empty or letterless texts, and for all texts if there is
 nothing to learn from. Ties go to the smaller language name. Rows with equal ids are scored one by one;
-null ids stay null and belong to the fold of the text "None". Columns other than those named aren't read.
+null ids stay null and belong to the fold of the text "None". Very long texts are scored whole; an empty table gives an empty
+result. Columns other than those named aren't read.
 """
 
 from __future__ import annotations
@@ -24,12 +26,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, fold, in_batches
+from .common import fold, in_batches, quoted, within_chars
 
-SAMPLE, MAX_LANGS = 4_000, 1_000
-ROUNDS, LONGEST_WORD = 3, 40
-#: No piece is longer than a word.
-LONGEST_PIECE = LONGEST_WORD
+SAMPLE, SAMPLE_CHARS, MAX_LANGS = 4_000, 50_000_000, 1_000
+#: Up to so many letters products of probabilities are far from underflow.
+ROUNDS, MANY = 3, 40
 HELD_OUT = 2
 LETTERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = 1e-7
@@ -42,10 +43,10 @@ def default_vocabulary() -> str:
 
 
 def words_in(text: str | None) -> list[str]:
-    """Lower-cased words; a very long one counts as several."""
+    """Lower-cased runs of letters. What the pattern takes for a letter besides (as in m²) parts words."""
     words = LETTERS.findall(text.lower()) if text else []
-    if any(len(w) > LONGEST_WORD for w in words):
-        words = [w[k : k + LONGEST_WORD] for w in words for k in range(0, len(w), LONGEST_WORD)]
+    if not all(map(str.isalpha, words)):
+        words = [x for w in words for x in "".join(c if c.isalpha() else " " for c in w).split()]
     return words
 
 
@@ -58,12 +59,14 @@ class Pieces:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         texts = (sp.id_to_piece(i).replace("▁", "") for i in range(sp.get_piece_size()))
-        self.texts = sorted({t for t in texts if 0 < len(t) <= LONGEST_PIECE and t == t.lower() and LETTERS.fullmatch(t)})
+        self.texts = sorted({t for t in texts if t == t.lower() and t.isalpha()})
         self.auto = ahocorasick.Automaton()
         for k, t in enumerate(self.texts):
             self.auto.add_word(t, k)
         self.auto.make_automaton()
         self.lengths = np.array([len(t) for t in self.texts], np.int32)
+        self.longest = int(self.lengths.max(initial=1))
+        self.single = {t for t in self.texts if len(t) == 1}
 
     def matches(self, words: list[str]) -> tuple[np.ndarray, ...]:
         """(word, end, length, piece) of all matches by end and length, and the words' lengths; unknown letters are pieces of their own, number len(texts)."""
@@ -87,9 +90,22 @@ class Pieces:
         return word[order], end[order], length[order], piece[order], size
 
 
+    def ends(self, word: str):
+        """For each position of one word: (lengths, pieces) of the matches that end there."""
+        found = self.auto.iter(word)
+        end, k = next(found, (len(word), 0))
+        for at, c in enumerate(word):
+            lengths, pieces = ([], []) if c in self.single else ([1], [len(self.texts)])
+            while end == at:
+                lengths.append(int(self.lengths[k]))
+                pieces.append(k)
+                end, k = next(found, (len(word), 0))
+            yield np.array(lengths), np.array(pieces)
+
+
 def steps(end: np.ndarray, length: np.ndarray):
     """Ranges of equal (end, length); in one, each word occurs once at most."""
-    key = end * (LONGEST_PIECE + 1) + length
+    key = end * (int(length.max(initial=0)) + 1) + length
     cuts = np.flatnonzero(np.diff(key)) + 1
     return zip(np.concatenate([[0], cuts]).tolist(), np.concatenate([cuts, [len(key)]]).tolist(), strict=True) if len(key) else ()
 
@@ -113,8 +129,38 @@ def log_scores(words: list[str], pieces: Pieces, prob: np.ndarray) -> np.ndarray
     return np.log(np.maximum(alpha[np.arange(len(words)), m[4]], 1e-300))
 
 
+def log_score(word: str, pieces: Pieces, logs: np.ndarray) -> np.ndarray:
+    """The same for one word of any length, by logarithms of the probabilities; a row of a language each."""
+    ring = np.full((pieces.longest + 1, logs.shape[1]), -np.inf)
+    ring[0] = 0
+    for at, (lengths, k) in enumerate(pieces.ends(word), 1):
+        ring[at % len(ring)] = np.logaddexp.reduce(ring[(at - lengths) % len(ring)] + logs[k], axis=0)
+    return ring[len(word) % len(ring)]
+
+
+def long_counts(word: str, pieces: Pieces, prob: np.ndarray, counts: np.ndarray, weight: float) -> None:
+    """Adds the expected piece counts of one word of any length."""
+    logs, matches = np.log(prob), list(pieces.ends(word))
+    alpha, beta = np.full(len(word) + 1, -np.inf), np.full(len(word) + 1, -np.inf)
+    alpha[0] = beta[len(word)] = 0
+    for at, (lengths, k) in enumerate(matches, 1):
+        alpha[at] = np.logaddexp.reduce(alpha[at - lengths] + logs[k])
+    for at in range(len(word), 0, -1):
+        lengths, k = matches[at - 1]
+        np.add.at(counts, k, weight * np.exp(alpha[at - lengths] + logs[k] + beta[at] - alpha[-1]))
+        beta[at - lengths] = np.logaddexp(beta[at - lengths], beta[at] + logs[k])
+
+
 def expected_counts(words: list[str], weight: np.ndarray, pieces: Pieces, prob: np.ndarray) -> np.ndarray:
     """Expected piece counts of one language (prob has one column), by forward-backward."""
+    if max(map(len, words)) > MANY:
+        short = np.array([len(w) <= MANY for w in words])
+        few = [w for w in words if len(w) <= MANY]
+        counts = expected_counts(few, weight[short], pieces, prob) if few else np.zeros(len(prob))
+        for w, x in zip(words, weight.tolist(), strict=True):
+            if len(w) > MANY:
+                long_counts(w, pieces, prob[:, 0], counts, x)
+        return counts
     alpha, (word, end, length, piece, size) = forward(words, pieces, prob)
     beta = np.zeros(alpha.shape[:2])
     beta[np.arange(len(words)), size] = 1
@@ -152,7 +198,7 @@ def fit(texts: list[tuple[str, str]], path: str) -> tuple[list[str], np.ndarray]
 
 def sample_of(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most: int) -> list[tuple[str, str]]:
     """About `most` labelled rows outside the held-out fold, chosen by a hash of their ids, as many of each language as there are."""
-    d = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("g")).where(F.col("g").isNotNull() & F.col("i").isNotNull() & (F.pmod(F.crc32(F.col("i").cast("string")), F.lit(4)) != HELD_OUT))
+    d = docs.select(quoted(id_col).alias("i"), quoted(text_col).alias("t"), quoted(lang_col).alias("g")).where(F.col("g").isNotNull() & F.col("i").isNotNull() & (F.pmod(F.crc32(F.col("i").cast("string")), F.lit(4)) != HELD_OUT))
     counts = d.groupBy("g").count().orderBy(F.desc("count"), "g").limit(MAX_LANGS + 1).collect()
     if not counts:
         return []
@@ -161,7 +207,9 @@ def sample_of(docs: DataFrame, id_col: str, text_col: str, lang_col: str, most:
     each = max(1, most // len(counts))
     kind = d.schema["g"].dataType.simpleString()
     shares = F.broadcast(d.sparkSession.createDataFrame([(g, each / n) for g, n in counts], f"g {kind}, share double"))  # MAX_LANGS rows at most
-    return [(r.t, r.g) for r in d.join(shares, "g").where(F.pmod(F.xxhash64("i"), F.lit(1_000_000)) < F.col("share") * 1_000_000).select("t", "g").limit(2 * max(most, len(counts))).collect()]
+    taken = d.join(shares, "g").where(F.pmod(F.xxhash64("i"), F.lit(1_000_000)) < F.col("share") * 1_000_000).select("i", "t", "g").limit(2 * max(most, len(counts)))
+    taken = within_chars(taken, "g", "t", "i", SAMPLE_CHARS // len(counts)).select("t", "g").toArrow()
+    return list(zip(taken.column("t").to_pylist(), taken.column("g").to_pylist(), strict=True))
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", vocabulary: str | None = None, sample: int = SAMPLE) -> DataFrame:
@@ -173,36 +221,57 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def make():
         pieces, prob = Pieces(path), sent.value
         wide = max(1, len(langs))
-        known, rows = {}, np.zeros((0, wide))
-        # rows, words at once and texts at once shrink as languages grow, so memory doesn't grow with them
-        most, some, step = min(600_000, 24_000_000 // wide), min(5_000, 250_000 // wide), min(1_000, max(20, 50_000 // wide))
+        # rows kept, words at once and texts at once shrink as languages grow, so memory doesn't grow with them
+        most, some, step = min(500_000, 24_000_000 // wide), min(5_000, 250_000 // wide), min(1_000, max(20, 50_000 // wide))
+        block = max(1_000, 4_000_000 // wide)
+        known: dict[str, int] = {}
+        rows = np.zeros((most, wide))
+
+        def add(words: list[str]) -> None:
+            nonlocal rows
+            if (need := len(known) + len(words)) > len(rows):  # a slice of texts with more words than are kept
+                rows = np.concatenate([rows, np.zeros((need - len(rows) + some, wide))])
+            short = sorted((w for w in words if len(w) <= MANY), key=len)
+            for x in range(0, len(short), some):
+                part, n = short[x : x + some], len(known)
+                rows[n : n + len(part)] = log_scores(part, pieces, prob)
+                known.update(zip(part, range(n, n + len(part)), strict=True))
+            if len(short) < len(words):
+                logs = np.log(prob)
+                for w in words:
+                    if len(w) > MANY:
+                        rows[len(known)] = log_score(w, pieces, logs)
+                        known[w] = len(known)
 
         def work(cols: dict) -> dict:
-            nonlocal known, rows
+            nonlocal rows
             out = {"id": cols["id"], "held_out": [fold(i) == HELD_OUT for i in cols["id"]], "lang_pred": [], "score": []}
             for k in range(0, len(cols["text"]), step):
                 split = [words_in(t) for t in cols["text"][k : k + step]]
-                if len(known) > most:
-                    known, rows = {}, rows[:0]
                 new = list({w for ws in split for w in ws if w not in known})
-                for at in range(0, len(new), 20_000):
-                    part = sorted(new[at : at + 20_000], key=len)
-                    known.update(zip(part, range(len(rows), len(rows) + len(part)), strict=True))
-                    rows = np.concatenate([rows, *(log_scores(part[x : x + some], pieces, prob) for x in range(0, len(part), some))]) if langs else np.zeros((len(known), 1))
+                if len(known) + len(new) > most:
+                    known.clear()
+                    rows = rows[:most]
+                    new = list({w for ws in split for w in ws})
+                if langs:
+                    add(new)
                 for ws in split:
                     if not ws or not langs:
                         out["lang_pred"].append("und")
                         out["score"].append(0.0)
                         continue
-                    total = rows[list(map(known.__getitem__, ws))].sum(axis=0)
+                    at = list(map(known.__getitem__, ws))
+                    total = sum(rows[at[x : x + block]].sum(axis=0) for x in range(0, len(at), block))
                     best = int(total.argmax())
                     soft = np.exp((total - total[best]) / np.sqrt(len(ws)))
                     out["lang_pred"].append(langs[best])
                     out["score"].append(float(1 / soft.sum()))
+                while known and len(last := next(reversed(known))) > MANY:  # long words come last and aren't kept
+                    del known[last]
             return out
 
         return work
 
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    d = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     return in_batches(d, make, f"id {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("id", id_col)

@@ -1,9 +1,10 @@
 """Operator 2: toxicity by Levenshtein automata over a lexicon trie, with context windows.
 
 The lexicon is learned from a bounded sample of labelled documents (``SAMPLE`` toxic ones and ``CLEAN`` times
-as many others, outside the held-out fold): words that occur in toxic documents in many different contexts and hardly in others.
+as many others, outside the held-out fold, and ``SAMPLE_CHARS`` code points of each label): words that occur in toxic documents in many different contexts and hardly in others.
 Counting different contexts (neighbouring words), one a document, keeps words of copied and of very long
-documents out.
+documents out. Beside whole terms the lexicon holds stems, beginnings that several such words share: a node of the
+trie that accepts whatever follows. Stems take in inflected forms; they are matched without edits.
 
 The lexicon's trie is intersected with the Levenshtein automaton of each term (one edit for terms of
 ``FUZZY_FROM`` letters or more): a state is the set of (trie node, edits) pairs alive, made when first
@@ -15,11 +16,14 @@ hit between quotation marks counts ``QUOTED`` of its weight, unless other hits s
 quotation marks. The score is 1 - exp(-sum of weights).
 
 Null and empty texts score 0. Without labelled toxic rows the lexicon is empty and all score 0. Rows with
-equal ids are scored one by one; a null id is in the fold of the text "None". Other columns aren't read.
+equal ids are scored one by one; a null id is in the fold of the text "None". A word that is one edit from several terms
+takes the one of most weight. Very long texts are scored whole, in time n log n in their hits. An empty table gives an empty
+result. Other columns aren't read.
 """
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -27,11 +31,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, fold, in_batches
+from .common import Memo, fold, in_batches, quoted, within_chars
 
-SAMPLE, HELD_OUT, THRESHOLD = 1_500, 2, 0.3
+SAMPLE, SAMPLE_CHARS, HELD_OUT, THRESHOLD = 1_500, 30_000_000, 2, 0.3
 #: A term occurs in so many contexts at least, and in a larger sample in this share of toxic documents.
-MIN_CONTEXTS, MIN_SHARE, MIN_RATIO, MOST_TERMS = 3, 0.012, 20.0, 5_000
+MIN_CONTEXTS, MIN_SHARE, MIN_RATIO = 3, 0.012, 20.0
 #: -log of the chance that a term's contexts would all be toxic; lengths of stems; words that a stem stands for; weight per unit of log ratio.
 SURE, STEMS, STEM_WORDS, PER_LOG = 8.0, (4, 5, 6, 7, 8), 3, 0.058
 #: So many clean documents for each toxic one are sampled.
@@ -173,7 +177,7 @@ def learn(rows: list[tuple[str, int]]) -> tuple[list[str], list[str]]:
             n = sum(len(contexts[w]) for w in ws)
             if not any(x[:k] in stems and clean[x[:k]] <= rare for k in range(min(STEMS), len(x))):
                 good.append((n, ratio(min(n, total[1]), clean[x]), x + "*"))
-    terms = [f"{w}:{weight_of(r):.3f}" for _, r, w in sorted(good, key=lambda t: (-t[0], t[2])) if r >= MIN_RATIO][:MOST_TERMS]
+    terms = [f"{w}:{weight_of(r):.3f}" for _, r, w in sorted(good, key=lambda t: (-t[0], t[2])) if r >= MIN_RATIO]
     lexicon = Lexicon(terms)
     return terms, sorted(w for w in df[0] if lexicon.match(w) == 1)
 
@@ -206,14 +210,25 @@ def score_hits(text: str, hits: list[tuple[int, int, int, float]]) -> float:
     """hits: (start, end, edits, weight). Higher for abuse than for quotation."""
     if not hits:
         return 0.0
-    spans = quoted_spans(text) if any(q in text for q in QUOTES) else []
-    inside = [any(a < s and e <= b for a, b in spans) for s, e, *_ in hits]
-    bare = [s for (s, *_), q in zip(hits, inside, strict=True) if not q]
+    spans = quoted_spans(text) if any(q in text for q in QUOTES) else []  # one after the other
+    opens = [a for a, _ in spans]
+
+    def is_inside(start: int, end: int) -> bool:
+        k = bisect_left(opens, start) - 1
+        return k >= 0 and end <= spans[k][1]
+
+    inside = [is_inside(s, e) for s, e, *_ in hits]
+    bare = sorted(s for (s, *_), q in zip(hits, inside, strict=True) if not q)
+
+    def is_alone(start: int) -> bool:
+        k = bisect_left(bare, start - WINDOW)
+        return k == len(bare) or bare[k] > start + WINDOW
+
     total = 0.0
     for (s, _, edits, weight), q in zip(hits, inside, strict=True):
         if edits:
             weight *= FUZZY
-        if q and not any(abs(s - b) <= WINDOW for b in bare):
+        if q and is_alone(s):
             weight *= QUOTED
         total += weight
     return 1 - math.exp(-total)
@@ -221,12 +236,14 @@ def score_hits(text: str, hits: list[tuple[int, int, int, float]]) -> float:
 
 def sample_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> list[tuple[str, int]]:
     """`most` toxic rows or a few more and CLEAN times as many others, chosen by a hash of the id; labels are picked first, so few texts move."""
-    y = labels.select(F.col(id_col).alias("i"), F.col("toxic").cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("i").isNotNull() & (F.pmod(F.crc32(F.col("i").cast("string")), F.lit(4)) != HELD_OUT))
+    y = labels.select(quoted(id_col).alias("i"), F.col("toxic").cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("i").isNotNull() & (F.pmod(F.crc32(F.col("i").cast("string")), F.lit(4)) != HELD_OUT))
     n = dict(y.groupBy("y").count().collect())
     share = F.when(F.col("y") == 1, most / max(1, n.get(1, 0))).otherwise(CLEAN * most / max(1, n.get(0, 0)))
     chosen = y.where(F.pmod(F.xxhash64("i"), F.lit(1_000_000)) < share * 1_000_000).limit((CLEAN + 2) * most)
-    d = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    return [(r.t, r.y) for r in d.join(F.broadcast(chosen), "i").select("t", "y").collect()]  # (CLEAN + 2) x most small rows at most
+    d = docs.select(quoted(id_col).alias("i"), quoted(text_col).alias("t"))
+    taken = d.join(F.broadcast(chosen), "i").limit((CLEAN + 2) * most)  # so many small rows at most; ids may repeat
+    taken = within_chars(taken, "y", "t", "i", SAMPLE_CHARS).select("t", "y").toArrow()
+    return list(zip(taken.column("t").to_pylist(), taken.column("y").to_pylist(), strict=True))
 
 
 def scorer(terms: list[str], natural: list[str]):
@@ -257,7 +274,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
         return work
 
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    d = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     return in_batches(d, make, f"id {kind}, held_out boolean, score double, predicted int, n_hits long").withColumnRenamed("id", id_col)
 
@@ -272,4 +289,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         for texts in parts:
             yield texts.map(lambda t: f(t)[0]).astype(float)
 
-    return docs.where(F.coalesce(score(F.col(text_col)), F.lit(0.0)) < THRESHOLD)
+    return docs.where(F.coalesce(score(quoted(text_col)), F.lit(0.0)) < THRESHOLD)

@@ -13,7 +13,7 @@ def test_long_pieces_count():
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     texts = {sp.id_to_piece(i).replace("▁", "") for i in range(sp.get_piece_size())}
     pieces = language_id.Pieces(path)
-    assert set(pieces.texts) == {t for t in texts if t == t.lower() and language_id.LETTERS.fullmatch(t)}
+    assert set(pieces.texts) == {t for t in texts if t == t.lower() and t.isalpha()}
     prob = np.zeros((len(pieces.texts) + 1, 1))
     long = max(pieces.texts, key=len)
     prob[pieces.texts.index(long)] = 0.25
@@ -40,3 +40,38 @@ def test_every_language_is_learned(spark, monkeypatch):
     monkeypatch.setattr(language_id, "MAX_LANGS", 204)
     with pytest.raises(ValueError, match="more than 204 languages"):
         language_id.language_id(d)
+
+
+def test_words_are_letters():
+    assert language_id.words_in("½ ② ² Ⅷ 12 _") == []
+    assert language_id.words_in("m²n Ab½ ǅ ß漢 ªº") == ["m", "n", "ab", "ǆ", "ß漢", "ªº"]
+
+
+def test_letterless_texts_are_und(spark):
+    rows = [(k, "en", "the words of this language") for k in range(20)] + [(100, "en", "½ ② ²"), (101, None, "Ⅷ 7")]
+    got = {r.doc_id: r.lang_pred for r in language_id.language_id(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    assert (got[1], got[100], got[101]) == ("en", "und", "und")
+
+
+def test_long_words_are_whole():
+    """A word of any length gets the sum over all segmentations, in scoring and in learning."""
+    pieces = language_id.Pieces(language_id.default_vocabulary())
+    rng = np.random.default_rng(1)
+    prob = np.concatenate([rng.random((len(pieces.texts), 2)) / 100, np.full((1, 2), language_id.UNKNOWN)])
+    words = ["internationalisierungß漢", "aaaaaaaaa", "x"]
+    for w, want in zip(words, language_id.log_scores(words, pieces, prob), strict=True):
+        assert np.allclose(language_id.log_score(w, pieces, np.log(prob)), want)
+    one = prob[:, :1]
+    for w in words:
+        counts = np.zeros(len(prob))
+        language_id.long_counts(w, pieces, one[:, 0], counts, 2.0)
+        assert np.allclose(counts, language_id.expected_counts([w], np.array([2.0]), pieces, one))
+    long = "wort" * 500 + "ß漢" + "straße" * 300
+    assert np.isfinite(language_id.log_score(long, pieces, np.log(prob))).all()
+
+
+def test_a_text_of_one_very_long_word(spark):
+    rows = [(k, g, t) for k in range(40) for g, t in [("xx", "abab abba baba"), ("yy", "cdcd dccd dcdc")]]
+    rows = [(n, g, t) for n, (_, g, t) in enumerate(rows)] + [(1000, None, "ab" * 20_000), (1001, None, "cd" * 20_000), (1002, None, "ab" * 20_000 + " cd")]
+    got = {r.doc_id: r.lang_pred for r in language_id.language_id(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    assert (got[1000], got[1001], got[1002], got[0], got[1]) == ("xx", "yy", "xx", "xx", "yy")

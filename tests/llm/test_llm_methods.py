@@ -150,7 +150,7 @@ def test_forward_sums_all_segmentations():
         if not word:
             return 1.0
         out = 0.0
-        for n in range(1, min(len(word), language_id.LONGEST_PIECE) + 1):
+        for n in range(1, min(len(word), pieces.longest) + 1):
             k = number.get(word[:n], len(pieces.texts) if n == 1 else None)
             if k is not None:
                 out += prob[k, lang] * total(word[n:], lang)
