@@ -6,7 +6,9 @@ import atexit
 import contextlib
 import ctypes
 import re
+import sys
 import tempfile
+import types
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -22,7 +24,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Stands in for a null id, below every real one.
 NO_ID = -(2**63)
 #: What a Python worker takes at once, what its memos hold, and what an entry of a dict costs besides its key.
-SLICE_BYTES, MEMO_BYTES, ENTRY_BYTES = 8 << 20, 96 << 20, 120
+SLICE_BYTES, MEMO_BYTES, ENTRY_BYTES = 8 << 20, 192 << 20, 120
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,14 +136,14 @@ def fold(doc_id) -> int:
 
 
 def in_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str) -> DataFrame:
-    """mapInArrow with one worker object a task: make() gives the function from columns to columns."""
+    """mapInArrow with one function from columns to columns, given by make() and kept between the tasks of a Python worker."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    kinds = to_arrow_schema(StructType.fromDDL(schema))
+    kinds, key = to_arrow_schema(StructType.fromDDL(schema)), uuid.uuid4().hex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
+        work = kept(key, make)
         for batch in sliced(batches, 2000):
             out = work({k: batch.column(i).to_pylist() for i, k in enumerate(batch.schema.names)})
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in kinds], schema=kinds)
@@ -149,6 +151,16 @@ def in_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema
     return df.mapInArrow(run, schema)
 
 
+def kept(key: str, make: Callable):
+    """What make() gives, kept by the Python worker for its next tasks until it is asked for another key."""
+    box = sys.modules.setdefault("_reelquery_kept", types.ModuleType("_reelquery_kept"))
+    if getattr(box, "key", None) != key:
+        box.key = box.value = None
+        box.value = make()
+        box.key = key
+    return box.value
+
+
 def sliced(batches: Iterable[pa.RecordBatch], rows: int = 1000, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches of few rows and about `most` bytes (or one row), so that a worker holds little besides; at the end the task's memory goes back to the system."""
     for b in batches:
@@ -179,17 +191,19 @@ def trim() -> None:
 
 
 class Memo(dict):
-    """A dict from texts that works out what it lacks, and starts anew at so many bytes, so a task's memory stays bounded however long keys are."""
+    """A dict from texts that works out what it lacks; of two generations of half as many bytes the older one goes, so memory stays bounded however long keys are."""
 
     def __init__(self, work: Callable, most: int = MEMO_BYTES):
         super().__init__()
-        self.work, self.most, self.held = work, most, 0
+        self.work, self.most, self.held, self.older = work, most // 2, 0, {}
 
     def __missing__(self, key):
         if self.held >= self.most:
+            self.older = dict(self)
             self.clear()
             self.held = 0
-        self[key] = value = self.work(key)
+        value = self.older[key] if key in self.older else self.work(key)
+        self[key] = value
         self.held += ENTRY_BYTES + getsizeof(key)
         return value
 

@@ -13,8 +13,9 @@ Words are those of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z are lower
 is one translation and one split, as all bytes from 0x80 on belong to words.
 
 score is the best share of template words matched, 1.0 for a base phrase, 0.0 without any label.
-Null and empty texts have no words and labels. Rows count one by one, also with equal ids; null ids stay null.
-An empty table gives an empty result. Other columns aren't read.
+Null and empty texts have no words and labels. Rows count one by one, also with equal ids; null ids stay null. Of
+words of equal frequency the first in order of bytes are the rare ones; of places with equal shares any stands. Very
+long texts are scanned whole, in time in proportion to their words. An empty table gives an empty result. Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_batches
+from .common import in_batches, quoted, sliced
 
 RARE, MIN_MATCH = 4, 0.75
 
@@ -139,13 +140,13 @@ def word_frequencies(docs: DataFrame, text_col: str) -> tuple[dict[bytes, int],
 
         df: Counter = Counter()
         n = 0
-        for b in batches:
+        for b in sliced(batches):
             for text in b.column(0).to_pylist():
                 df.update(vocabulary.intersection(words_of(text)))
                 n += 1
         yield pa.RecordBatch.from_pydict({"word": ["", *(w.decode() for w in df)], "n": [n, *df.values()]}, schema=pa.schema([("word", pa.string()), ("n", pa.int64())]))
 
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(quoted(text_col).alias("text")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
     counts = {r.word.encode(): r.n for r in rows}
     return counts, counts.pop(b"", 0)
 
@@ -166,6 +167,6 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         return work
 
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    d = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     return in_batches(d, make, f"id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double").withColumnRenamed("id", id_col)

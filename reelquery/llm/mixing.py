@@ -11,8 +11,12 @@ more epoch, up to the document that meets the budget. Running totals are taken o
 within blocks, so no source is one task. ``position`` is the used share of the source's budget: in its
 order every stretch of the stream holds the sources at their weights.
 
+Where no exponent meets the target (sources of like size have too much entropy at any), t is 1, the sources' own shares, and
+``target_met`` is false.
+
 Tokens are words here (``tokens`` takes any column). Null sources are a source of their own. Documents
-without tokens come once an epoch and cost nothing; a source without tokens is used once. Rows with equal
+without tokens come once an epoch and cost nothing; a source without tokens is used once. Very long texts are counted whole
+and may pass the budget by what the last one has. Ties in the order of blocks and documents are broken by their numbers and ids. Rows with equal
 ids share a block and are told apart by nothing else. An empty table gives no placements. Other columns
 aren't read.
 """
@@ -24,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, quoted, unused
 
 ENTROPY, REPEATS, BLOCK, SEED = 0.98, 2.0, 1000, 7
 #: Bound of the table of sources that the driver holds.
@@ -69,16 +73,18 @@ def word_count(text: Column) -> Column:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", tokens: Column | None = None, budget: float | None = None, target: float = ENTROPY, repeats: float = REPEATS, seed: int = SEED) -> DataFrame:
-    """One row a placement: id, source, n_tokens, weight, repetitions, epoch, block, position."""
+    """One row a placement: id, source, n_tokens, weight, repetitions, epoch, block, position, exponent, target_met."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    d = scratch.write(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), (tokens if tokens is not None else word_count(F.col(text_col))).alias("n_tokens")), "docs")
+    d = scratch.write(docs.select(quoted(id_col).alias("id"), quoted(source_col).alias("source"), (tokens if tokens is not None else word_count(quoted(text_col))).alias("n_tokens")), "docs")
     sources = d.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")).orderBy("source").limit(MOST_SOURCES + 1).collect()
     if len(sources) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     kind = d.schema["source"].dataType.simpleString()
     schema = f"_source {kind}, weight double, repetitions double, _t long, _blocks long"
+    exponent, met = 1.0, True
     if sources:
-        _, weights, reps = solve([float(r.t) for r in sources], budget, target, repeats)
+        exponent, weights, reps = solve([float(r.t) for r in sources], budget, target, repeats)
+        met = entropy(weights) <= target * math.log(max(2, sum(1 for r in sources if r.t))) + 1e-9 and max(reps) <= repeats + 1e-9
         rows = [(r.source, w, x, r.t, -(-r.n // BLOCK)) for r, w, x in zip(sources, weights, reps, strict=True)]
     else:
         rows = []
@@ -95,11 +101,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     # whole epochs hold every document, wordless ones at their end too; the rest of the budget is met by counting
     whole = F.col("epoch") < F.floor(F.col("repetitions") + 1e-9)
     out = out.withColumn("_used", used).where(whole | (F.col("_used") < F.col("repetitions") - 1e-9))
-    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "n_tokens", "weight", "repetitions", F.col("epoch").cast("long").alias("epoch"), "block", F.least(F.col("_used") / F.col("repetitions"), F.lit(1.0)).alias("position"))
+    return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "n_tokens", "weight", "repetitions", F.col("epoch").cast("long").alias("epoch"), "block", F.least(F.col("_used") / F.col("repetitions"), F.lit(1.0)).alias("position"), F.lit(exponent).alias("exponent"), F.lit(met).alias("target_met"))
 
 
 def realise(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """docs with each row as often as the mixture uses it. A document of a late epoch is in all earlier ones, so its last epoch tells."""
-    placed = mix(docs, id_col, **options).groupBy(F.col(id_col).alias("_id")).agg(F.max("epoch").cast("int").alias("_last"))
-    names = [F.col(c) for c in docs.columns]
-    return docs.join(placed, F.col(id_col).eqNullSafe(F.col("_id"))).select(*names, F.explode(F.sequence(F.lit(0), F.col("_last"))).alias("_epoch")).select(*names)
+    """docs with each row as often as the mixture uses it, in the order of the mixture: by position, from partition to partition and within each.
+
+    Of rows with equal ids each comes as often as the id is placed by one of them.
+    """
+    number, at = unused(docs, "epoch", "position")
+    key, = unused(docs.withColumns({number: F.lit(0), at: F.lit(0)}), "id")
+    placed = mix(docs, id_col, **options).groupBy(quoted(id_col).alias(key), F.col("epoch").alias(number)).agg(F.min("position").alias(at))
+    # a document of a late epoch is in all earlier ones, so its places are one row
+    placed = placed.groupBy(key).agg(F.collect_list(at).alias(at))
+    both = docs.join(placed, quoted(id_col).eqNullSafe(F.col(key)))
+    names = [quoted(c) for c in docs.columns]
+    return both.select(*names, F.explode(at).alias(at)).orderBy(at, F.xxhash64(quoted(id_col))).select(*names)

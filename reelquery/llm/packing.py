@@ -2,34 +2,36 @@
 
 1. One Arrow pass tokenises whole texts and cuts each document every ``max_len`` ids. Only the pieces'
    lengths and checksums leave the pass; they are written to the shared folder. Each distinct word is
-   tokenised once a task, since the tokenizer never looks across white space.
+   tokenised once while a worker keeps it, since the tokenizer never looks across white space.
 2. The histogram has at most ``max_len`` bars, however many documents there are. On it the driver places
    lengths longest first, always into the packs with most room, keeping only patterns and their counts.
-3. Each piece gets its rank among pieces of its length (ranks are counted in blocks and the blocks' sizes
-   summed, so a hot length isn't one task) and the rank leads to its pattern, pack and offset.
+3. Each piece gets its rank among pieces of its length (ranks are counted in blocks of about ``BLOCK_ROWS`` and the
+   blocks' sizes summed, so a hot length isn't one task) and the rank leads to its pattern, pack and offset.
 
 Null and empty texts are one piece of the end id. Rows count one by one, also when ids repeat; null ids stay
-null. An empty table gives no pieces. Other columns are not read. A sequence whose length is a power of two
+null. Very long texts are cut into as many pieces as they need; pieces of equal length are alike to the packing. An
+empty table gives no pieces. Other columns are not read. A sequence whose length is a power of two
 needs no padding and keeps its length; all others are padded to max_len (padded_length).
 """
 
 from __future__ import annotations
 
-import sys
-import types
 import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, in_batches
+from .common import ENTRY_BYTES, MEMO_BYTES, Scratch, in_batches, quoted
 
-MAX_LEN, END_ID, BLOCKS = 4096, 2, 64
+#: A block of equal lengths holds about so many pieces, whose order is one task's work.
+MAX_LEN, END_ID, BLOCK_ROWS = 4096, 2, 1_000_000
 #: Bound of the slot table that is sent to executors: 4 numbers a row.
 MOST_SLOTS = 2_000_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECE_COLUMNS = [x.split()[0] for x in PIECE.split(", ")]
 
 
 def default_tokenizer() -> str:
@@ -48,10 +50,10 @@ class WordIds:
 
     The tokenizer never looks across white space. Letters-only words are tokenised many at a time, as each ends
     with a token that ends a word; where the numbers don't agree, and for other words, one by one. Of a word
-    with one punctuation mark after a letter, both parts are looked up. When full, only words that were met again stay.
+    with one punctuation mark after a letter, both parts are looked up. At so many bytes, only words that were met again stay.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = MEMO_BYTES):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -60,14 +62,19 @@ class WordIds:
             self.ends[k] = token.endswith("</w>")
         self.known: dict[bytes, bytes] = {}
         self.again: set[bytes] = set()
-        self.most = most
+        self.most, self.held = most, 0
 
     def learn(self, words: set[bytes]) -> None:
         known = self.known
-        if len(known) > self.most:
-            self.known = known = {w: known[w] for w in self.again if w in known} if len(self.again) < self.most // 2 else {}
+        if self.held > self.most:
+            self.known = known = {w: known[w] for w in self.again if w in known}
+            self.held = sum(map(self._size, known.items()))
+            if self.held > self.most // 2:
+                self.known = known = {}
+                self.held = 0
             self.again = set()
         new = words.difference(known)
+        n = len(known)
         self.again.update(words)
         self.again.difference_update(new)
         marked = [w for w in new if w[-1] in b",.;:!?" and len(w) > 1 and (97 <= w[-2] <= 122 or ends_in_letter(w))]
@@ -93,22 +100,18 @@ class WordIds:
                 known[w] = np.array(e.ids, "<u4").tobytes()
         for w in marked:
             known[w] = known[w[:-1]] + known[w[-1:]]
+        self.held += sum(map(self._size, islice(reversed(known.items()), len(known) - n)))
 
-
-def worker_ids(path: str) -> WordIds:
-    """Kept between the tasks of a Python worker."""
-    kept = sys.modules.setdefault("_reelquery_kept", types.ModuleType("_reelquery_kept"))
-    name = f"ids:{path}"
-    if name not in kept.__dict__:
-        kept.__dict__[name] = WordIds(path)
-    return kept.__dict__[name]
+    @staticmethod
+    def _size(entry: tuple[bytes, bytes]) -> int:
+        return ENTRY_BYTES + 66 + len(entry[0]) + len(entry[1])
 
 
 def piece_maker(path: str, max_len: int, end_id: int):
     """Makes the function from texts to pieces; ids stay packed as little-endian 32-bit numbers."""
 
     def make():
-        words_ids = worker_ids(path)
+        words_ids = WordIds(path)
         end = np.array([end_id], "<u4").tobytes()
 
         def work(cols: dict) -> dict:
@@ -171,38 +174,40 @@ def shortest_pack_first(histogram: dict[int, int], max_len: int) -> tuple[np.nda
     return np.array(sorted(slots), dtype=np.int64).reshape(-1, 4), sequence
 
 
-def pack_pieces(pieces: DataFrame, spark: SparkSession, max_len: int = MAX_LEN, blocks: int = BLOCKS) -> DataFrame:
+def pack_pieces(pieces: DataFrame, max_len: int = MAX_LEN, block_rows: int = BLOCK_ROWS, most_slots: int = MOST_SLOTS) -> DataFrame:
     """pieces as stored in the shared folder; adds sequence_id, offset and padded_length."""
-    p = pieces.withColumn("_b", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(blocks)))
-    counts = p.groupBy("length", "_b").agg(F.count("*").alias("n"))
-    histogram: dict[int, int] = {}
-    before = []
-    for length, b, n in sorted(map(tuple, counts.collect())):  # at most max_len x blocks rows
-        before.append((length, b, histogram.get(length, 0)))
-        histogram[length] = histogram.get(length, 0) + n
+    spark = pieces.sparkSession
+    histogram = dict(map(tuple, pieces.groupBy("length").count().collect()))  # max_len rows at most
     slots, _ = shortest_pack_first(histogram, max_len)
-    if len(slots) > MOST_SLOTS:
-        raise ValueError(f"{len(slots)} slots; raise MOST_SLOTS if executors have the memory")
+    if len(slots) > most_slots:
+        raise ValueError(f"{len(slots)} slots; raise most_slots if executors have the memory")
     used = dict.fromkeys(slots[:, 2].tolist(), 0)
     ends = np.zeros(0)
     if len(slots):
         for length, _, sequence, _ in slots.tolist():
             used[sequence] += length
         ends = np.array([used[s] for s in slots[:, 2].tolist()])
-    sent = spark.sparkContext.broadcast((slots, ends, {(a, b): n for a, b, n in before}))
-    ranked = p.withColumn("_r", F.row_number().over(Window.partitionBy("length", "_b").orderBy("doc_id", "start", "ids_crc32")) - 1)
+    sent = spark.sparkContext.broadcast((slots, ends))
+    many = F.broadcast(spark.createDataFrame([(length, -(-n // block_rows)) for length, n in histogram.items()], "length long, _blocks long"))  # max_len rows at most
+    # blocks by the place of a row in its file, so that equal rows don't share one
+    at = F.xxhash64(F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1), "_metadata.row_index")
+    p = pieces.select("*", at.alias("_at")).join(many, "length").withColumn("_b", F.pmod("_at", "_blocks"))
+    p = p.withColumn("_r", F.row_number().over(Window.partitionBy("length", "_b").orderBy("doc_id", "start", "ids_crc32", "_at")) - 1)
+    sizes = p.groupBy("length", "_b").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("length").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
+    ranked = p.join(sizes.select("length", "_b", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")), ["length", "_b"])
+    ranked = ranked.select(*PIECE_COLUMNS, (F.col("_before") + F.col("_r")).alias("_rank"))
     schema = f"{PIECE}, sequence_id long, offset long, padded_length long"
 
     def place(batches):
-        slots, ends, first = sent.value
+        slots, ends = sent.value
         keys = slots[:, 0] * 2**40 + slots[:, 1]
         for b in batches:
-            length, block, rank = (b.column(k).to_numpy(zero_copy_only=False) for k in ("length", "_b", "_r"))
-            rank = rank + np.fromiter((first[x] for x in zip(length.tolist(), block.tolist(), strict=True)), np.int64, len(length))
+            length, rank = (b.column(k).to_numpy(zero_copy_only=False) for k in ("length", "_rank"))
             at = np.searchsorted(keys, length * 2**40 + rank, "right") - 1
             total = ends[at].astype(np.int64)
             padded = np.where(total & (total - 1) == 0, total, max_len)
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")), pa.array(slots[at, 2] + rank - slots[at, 1]), pa.array(slots[at, 3]), pa.array(padded)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_length"])
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in PIECE_COLUMNS), pa.array(slots[at, 2] + rank - slots[at, 1]), pa.array(slots[at, 3]), pa.array(padded)], [*PIECE_COLUMNS, "sequence_id", "offset", "padded_length"])
 
     return ranked.mapInArrow(place, schema)
 
@@ -210,6 +215,6 @@ def pack_pieces(pieces: DataFrame, spark: SparkSession, max_len: int = MAX_LEN,
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, max_len: int = MAX_LEN, end_id: int = END_ID) -> DataFrame:
     """One row a piece: where it comes from and where it lies."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    d = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"))
     pieces = scratch.write(in_batches(d, piece_maker(tokenizer or default_tokenizer(), max_len, end_id), PIECE), "pieces")
-    return pack_pieces(pieces, spark, max_len)
+    return pack_pieces(pieces, max_len)

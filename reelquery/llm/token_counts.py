@@ -10,7 +10,7 @@ so that ties come out as there.
 The vocabulary is that of a public tokenizer file; a piece's score is the logarithm of one over its rank.
 Byte pieces are left out; letters without a piece are unknown. Pieces hold space marks at their start only, or
 are a run of them, so a text is cut where a run of spaces begins: each distinct part, a run and what
-follows up to the next, is segmented once a task and texts of any length only add counts up. A vocabulary with a mark
+follows up to the next, is segmented once while a worker keeps it and texts of any length only add counts up. A vocabulary with a mark
 after another letter is an error.
 
 Null and empty texts have 0 tokens. Rows count one by one, also with equal ids; null ids stay null. An empty
@@ -25,7 +25,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, in_batches
+from .common import Memo, in_batches, quoted
 
 MARK, UNKNOWN_PENALTY = "▁", 10.0
 PART = re.compile(" +[^ ]*")
@@ -100,13 +100,13 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def make():
         counter = Counter(unigram_vocabulary(path))
-        known = Memo(lambda part: counter.count(MARK + part.replace(" ", MARK)), 800_000)
+        known = Memo(lambda part: counter.count(MARK + part.replace(" ", MARK)))
 
         def work(cols: dict) -> dict:
             return {"id": cols["id"], "n_tokens": [sum(map(known.__getitem__, parts_of(t))) if t else 0 for t in cols["text"]]}
 
         return work
 
-    d = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    d = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
     return in_batches(d, make, f"id {kind}, n_tokens long").withColumnRenamed("id", id_col)
