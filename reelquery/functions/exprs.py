@@ -58,8 +58,26 @@ def uuid5(namespace: str, name: Column) -> Column:
 
 
 def natural_key(path: Column) -> Column:
-    """Sorts runs of digits as numbers and the rest lower-cased."""
-    return F.array_join(F.transform(F.regexp_extract_all(F.lower(path), F.lit(r"(\d+|\D+)"), F.lit(1)), lambda t: F.when(t.rlike(r"^\d+$"), F.lpad(t, 20, "0")).otherwise(t)), "")
+    """Sorts runs of digits as numbers, of any length, and the rest lower-cased: texts and numbers in turn, a text first.
+
+    A number is its digits without leading zeros after how many they are, so that texts sort as numbers.
+    """
+    runs = F.regexp_extract_all(F.lower(path), F.lit(r"(\d+|\D+)"), F.lit(1))
+    digits = lambda t: F.regexp_replace(t, "^0+", "")
+    number = lambda t: F.concat(F.lpad(F.length(digits(t)).cast("string"), 10, "0"), digits(t))
+    key = F.transform(runs, lambda t: F.when(t.rlike(r"^\d+$"), number(t)).otherwise(t))
+    return F.when(path.rlike(r"^\d"), F.concat(F.array(F.lit("")), key)).otherwise(key)
+
+
+def unused(taken: list[str], *wanted: str) -> list[str]:
+    """Names like those wanted that aren't taken (case apart)."""
+    have, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in have:
+            name += "_"
+        have.add(name.lower())
+        out.append(name)
+    return out
 
 
 def base_name(path: Column) -> Column:

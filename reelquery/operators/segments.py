@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import frame_number, round_sec, segment_id
+from ..functions.exprs import frame_number, round_sec, segment_id, unused
+from ..sources.shared import shared_dir
 
 
 def split_points(speech: DataFrame, sample_rate: int = 16_000) -> DataFrame:
@@ -67,11 +68,19 @@ def chunks(rows: DataFrame, order: str, size: int, offset: int = 0, limit: int |
 
 
 def dense_index(rows: DataFrame, order: str, name: str = "embedding_index") -> DataFrame:
-    """0-based positions in the order of one column (ties in any order), numbered by range partition: local positions plus the counts of the partitions before."""
+    """0-based positions in the order of one column (ties in any order): local positions plus the counts of the partitions before.
+
+    The range-sorted rows are written once to the shared folder, each with its partition and its place there. Boundaries
+    of a range sort are sampled, so counts taken from a second sort needn't be those of the first.
+    """
     spark = rows.sparkSession
+    part, place, before = unused([*rows.columns, name], "part", "place", "before")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = rows.repartitionByRange(n, order).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id())
-    w = Window.partitionBy("_p").orderBy(order)
-    counts = d.groupBy("_p").agg(F.count("*").alias("_c"))
-    before = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_before"))  # a row a partition
-    return d.withColumn("_k", F.row_number().over(w)).join(F.broadcast(before), "_p").withColumn(name, (F.col("_before") + F.col("_k") - 1).cast("long")).drop("_p", "_k", "_before")
+    d = rows.repartitionByRange(n, order).sortWithinPartitions(order)
+    d = d.withColumns({part: F.spark_partition_id(), place: F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    path = shared_dir(spark)
+    d.write.parquet(path)
+    d = spark.read.schema(d.schema).parquet(path)
+    counts = d.groupBy(part).agg((F.max(place) + 1).alias(before))
+    first = counts.select(part, (F.sum(before).over(Window.orderBy(part)) - F.col(before)).alias(before))  # a row a partition
+    return d.join(F.broadcast(first), part).withColumn(name, F.col(before) + F.col(place)).drop(part, place, before)

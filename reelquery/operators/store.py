@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import DNS, OID, base_name, uuid5
+from ..functions.exprs import DNS, OID, base_name, unused, uuid5
 
 POINT = ["collection", "point_id", "point_type", "video_id", "segment_id", "frame_index", "start_time_sec", "end_time_sec", "image_path", "text", "vector"]
 
 
 def point_name(video: Column, segment: Column, frame: Column, kind: Column) -> Column:
-    return F.concat_ws("_", video, segment, F.when(kind == "keyframe", "kf").otherwise("cap"), F.coalesce(frame.cast("string"), F.lit("None")))
+    """What a point's id is made of. A missing part is empty and keeps its place, a missing frame is 0; transcripts are a kind of their own, as they share segment and frame with captions."""
+    short = F.when(kind == "keyframe", "kf").when(kind == "transcript", "tr").otherwise("cap")
+    part = lambda c: F.coalesce(c, F.lit(""))
+    return F.concat(part(video), F.lit("_"), part(segment), F.lit("_"), short, F.lit("_"), F.coalesce(frame.cast("string"), F.lit("0")))
 
 
 def with_ids(points: DataFrame) -> DataFrame:
@@ -24,12 +27,27 @@ def check_dimension(points: DataFrame, size: int) -> DataFrame:
     return points.withColumn("error", F.when(n != size, F.concat(F.lit("vector has dimension "), n.cast("string"))))
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str = "point_id") -> DataFrame:
-    """New rows replace old ones of the same key. Among new rows of one key any may win unless made distinct before.
+def distinct_by(rows: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """One row a key: the one with the greatest order (the last), or any."""
+    if order is None:
+        return rows.dropDuplicates([key])
+    last, = unused(rows.columns, "last")
+    return rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), order).alias(last)).select(*[F.col(last)[c].alias(c) for c in rows.columns])
+
+
+def upsert(old: DataFrame, new: DataFrame, key: str = "point_id", order: str | None = None) -> DataFrame:
+    """New rows replace old ones of the same key; of new rows of one key the last by order stays (any, if order is None).
 
     One anti-join on the key: the side of keys is narrow, and vectors of old rows move only once.
     """
-    return new.unionByName(old.join(new.select(key).distinct(), key, "left_anti"), allowMissingColumns=True)
+    one = distinct_by(new, key, order)
+    return one.unionByName(old.join(new.select(key).distinct(), key, "left_anti"), allowMissingColumns=True)
+
+
+def dimension(points: DataFrame) -> int | None:
+    """The dimension of a collection's vectors; null if it has none."""
+    row = points.select(F.size("vector").alias("n")).where("n >= 0").first()
+    return row.n if row else None
 
 
 def merge(sources: dict[str, DataFrame | None], target: str) -> DataFrame:
@@ -74,8 +92,9 @@ def gather(segments: DataFrame, keyframes: DataFrame, captions: DataFrame, trans
 
 
 def caption_lookup(captions: DataFrame, segments: DataFrame) -> DataFrame:
-    """Captions with their segment's first frame, 0 where the segment is unknown."""
-    return captions.join(segments.select("segment_id", F.col("global_start_frame").alias("_f")), "segment_id", "left").withColumn("global_start_frame", F.coalesce("_f", F.lit(0))).drop("_f")
+    """Captions with their segment's first frame (the least, if a segment is there more than once), 0 where the segment is unknown."""
+    starts = segments.groupBy("segment_id").agg(F.min("global_start_frame").alias("_f"))
+    return captions.join(starts, "segment_id", "left").withColumn("global_start_frame", F.coalesce("_f", F.lit(0))).drop("_f")
 
 
 def all_captions(captions: DataFrame) -> DataFrame:
@@ -88,9 +107,9 @@ def timeline_lookup(clips: DataFrame, timeline: DataFrame) -> DataFrame:
     return clips.withColumn("file", base_name(F.col("path"))).join(timeline, "file", "left")
 
 
-def keyframe_meta(files: DataFrame, groups: DataFrame) -> DataFrame:
-    """Keyframe files with the group whose keyframe they show."""
-    return files.join(groups, files["frame_idx"] == groups["global_keyframe"])
+def keyframe_meta(files: DataFrame, groups: DataFrame, clip: tuple[str, ...] = ("video_id", "segment_id")) -> DataFrame:
+    """Keyframe files with the group whose keyframe they show: of the same clip, as frame numbers are those of a video."""
+    return files.join(groups.withColumnRenamed("global_keyframe", "frame_idx"), [*clip, "frame_idx"])
 
 
 def resume(work: DataFrame, done: DataFrame, keys: list[str], force: bool = False) -> DataFrame:

@@ -34,18 +34,41 @@ def confidence(tokens: DataFrame, keys: list[str], value: str = "logp") -> DataF
     return tokens.groupBy(*keys).agg(F.round(mean, 4).alias("avg_logprob"), F.round(F.exp(F.greatest(F.lit(-20.0), mean)), 4).alias("confidence"))
 
 
+#: Seconds of a time bucket in which words and turns meet.
+BUCKET = 10.0
+
+
 def assign_speaker(words: DataFrame, turns: DataFrame) -> DataFrame:
     """The turn with most overlap names the speaker (the greatest name at ties); without overlap the turn nearest to the word's middle (the first at ties); without turns UNKNOWN.
 
-    An equi-join on the segment; max and min of structs pick within the aggregation, so nothing is sorted.
+    Words meet turns by segment and time bucket, so the rows made are in proportion to words and to the turns
+    that touch them, not to words times turns. Words without overlap lie between the last turn that ends before their middle and
+    the first that starts after it (or within turns of no length): running extremes over turns and middles in order of time find both.
     """
     t = turns.select("segment_id", "turn_no", F.col("start_sec").alias("ts"), F.col("end_sec").alias("te"), F.col("speaker").alias("who"))
-    mid = (F.col("start_sec") + F.col("end_sec")) / 2
+    w = words.select("segment_id", "word_no", "start_sec", "end_sec")
+    buckets = lambda a, b: F.explode(F.sequence(F.floor(F.least(a, b) / BUCKET), F.floor(F.greatest(a, b) / BUCKET))).alias("bucket")
+    met = w.select("*", buckets("start_sec", "end_sec")).join(t.select("*", buckets("ts", "te")), ["segment_id", "bucket"])
     overlap = F.round(F.least("end_sec", "te") - F.greatest("start_sec", "ts"), 6)
-    dist = F.when((mid >= F.col("ts")) & (mid <= F.col("te")), 0.0).otherwise(F.round(F.least(F.abs(mid - F.col("ts")), F.abs(mid - F.col("te"))), 6))
-    both = words.select("segment_id", "word_no", "start_sec", "end_sec").join(t, "segment_id", "left").withColumns({"ov": overlap, "dist": dist})
-    best = both.groupBy("segment_id", "word_no").agg(F.max(F.when(F.col("ov") > 0, F.struct("ov", "who"))).alias("a"), F.min_by("who", F.struct("dist", "turn_no")).alias("b"))
-    return best.select("segment_id", "word_no", F.coalesce("a.who", "b", F.lit("UNKNOWN")).alias("speaker"))
+    best = met.withColumn("ov", overlap).where("ov > 0").groupBy("segment_id", "word_no").agg(F.max(F.struct("ov", "who"))["who"].alias("a"))
+    rest = w.join(best, ["segment_id", "word_no"], "left")
+
+    # all events of a segment by time: turns as they start and end, middles of words
+    mid = (F.col("start_sec") + F.col("end_sec")) / 2
+    none = F.lit(None)
+    ended = t.select("segment_id", F.col("te").alias("at"), F.lit(0).alias("kind"), F.struct("te", (-F.col("turn_no")).alias("k"), "who", "turn_no").alias("ended"), none.alias("begun"), none.cast("long").alias("word_no"))
+    asked = rest.where("a is null").select("segment_id", mid.alias("at"), F.lit(1).alias("kind"), none.alias("ended"), none.alias("begun"), "word_no")
+    begun = t.select("segment_id", F.col("ts").alias("at"), F.lit(2).alias("kind"), none.alias("ended"), F.struct("ts", "turn_no", "who").alias("begun"), none.cast("long").alias("word_no"))
+    events = ended.unionByName(asked).unionByName(begun)
+    past = Window.partitionBy("segment_id").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = Window.partitionBy("segment_id").orderBy(F.desc("at"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = events.withColumns({"l": F.max("ended").over(past), "r": F.min("begun").over(ahead)}).where("kind = 1")
+    side = lambda c, d: F.when(F.col(c).isNotNull(), F.struct(F.round(d, 6).alias("dist"), F.col(c)["turn_no"].alias("turn_no"), F.col(c)["who"].alias("who")))
+    near = near.select("segment_id", "word_no", side("l", F.col("at") - F.col("l.te")).alias("l"), side("r", F.col("r.ts") - F.col("at")).alias("r"), "at")
+    # a turn around the middle (of a word of no length, so without overlap) is nearest of all
+    inside = met.withColumn("mid", mid).where("mid between ts and te").groupBy("segment_id", "word_no").agg(F.min(F.struct(F.lit(0.0).alias("dist"), "turn_no", "who")).alias("i"))
+    near = near.join(inside, ["segment_id", "word_no"], "left").select("segment_id", "word_no", F.least("l", "r", "i")["who"].alias("b"))
+    return rest.join(near, ["segment_id", "word_no"], "left").select("segment_id", "word_no", F.coalesce("a", "b", F.lit("UNKNOWN")).alias("speaker"))
 
 
 def _ends_sentence(text):

@@ -205,6 +205,25 @@ def dense_index(spark, sf_dir):
     return G.dense_index(V.table(spark, sf_dir, "part").select("p_partkey"), "p_partkey")
 
 
+_LINES = "lines AS (SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) - 1 AS row_no FROM lineitem)"
+
+
+def _lines(spark, sf_dir):
+    """Line numbers repeat in the table, so the order takes more columns."""
+    line = V.table(spark, sf_dir, "lineitem")
+    return line.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity").alias("key"))
+
+
+@query("dense_index_payload", f"WITH {_LINES} SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate, row_no AS embedding_index FROM lines")
+def dense_index_payload(spark, sf_dir):
+    return G.dense_index(_lines(spark, sf_dir), "key").drop("key")
+
+
+@query("batch_chunks_all", f"WITH {_LINES} SELECT l_orderkey, l_linenumber, l_quantity, row_no // 1000 AS batch_no FROM lines")
+def batch_chunks_all(spark, sf_dir):
+    return G.chunks(_lines(spark, sf_dir), "key", 1000).select("l_orderkey", "l_linenumber", "l_quantity", "batch_no")
+
+
 # --- keyframes --------------------------------------------------------------------------------------
 
 _GROUPS = f"""{V.FRAMES},
@@ -253,11 +272,11 @@ def frame_from_name(spark, sf_dir):
     return V.table(spark, sf_dir, "embeddings").select("vec_id", K.frame_from_name(name).alias("frame"))
 
 
-@query("keyframe_meta_join", f"WITH {_GROUPS.format(THRESHOLD)}, {_CANDIDATES}, {_MEDOIDS} SELECT e.vec_id AS frame_idx, m.segment_id, m.group_id FROM embeddings e JOIN medoids m ON m.frame_idx = e.vec_id WHERE e.vec_id % 2 = 0")
+@query("keyframe_meta_join", f"WITH {_GROUPS.format(THRESHOLD)}, {_CANDIDATES}, {_MEDOIDS} SELECT e.vec_id AS frame_idx, m.segment_id, m.group_id FROM embeddings e JOIN medoids m ON m.frame_idx = e.vec_id AND m.segment_id = 's' || e.label")
 def keyframe_meta_join(spark, sf_dir):
-    files = V.table(spark, sf_dir, "embeddings").where("vec_id % 2 = 0").select(F.col("vec_id").alias("frame_idx"))
+    files = V.table(spark, sf_dir, "embeddings").select(F.concat(F.lit("s"), F.col("label").cast("string")).alias("segment_id"), F.col("vec_id").alias("frame_idx"))
     m = K.medoids(_grouped(spark, sf_dir)).select("segment_id", "group_id", F.col("frame_idx").alias("global_keyframe"))
-    return P.keyframe_meta(files, m).select("frame_idx", "segment_id", "group_id")
+    return P.keyframe_meta(files, m, ("segment_id",)).select("frame_idx", "segment_id", "group_id")
 
 
 # --- transcripts ------------------------------------------------------------------------------------
@@ -410,12 +429,21 @@ def point_uuid5(spark, sf_dir):
     return P.with_ids(V.points(spark, sf_dir)).select("frame_index", "point_id")
 
 
-@query("upsert_points", f"WITH {V.POINTS}, fresh AS (SELECT point_id, frame_index, 'new ' || frame_index AS text FROM points WHERE frame_index % 5 = 0 UNION ALL SELECT 'x' || point_id, frame_index, 'added' FROM points WHERE frame_index % 50 = 0) SELECT * FROM fresh UNION ALL SELECT point_id, frame_index, text FROM points WHERE frame_index % 5 <> 0")
+_UPSERT = """seen AS (SELECT point_id, CASE WHEN frame_index % 7 <> 0 THEN frame_index END AS frame_index, text, frame_index AS k FROM points),
+batch AS (SELECT point_id, frame_index, 'new ' || k AS text, 1 AS arrived FROM seen WHERE k % 5 = 0 UNION ALL SELECT point_id, frame_index, 'newer ' || k, 2 FROM seen WHERE k % 10 = 0
+  UNION ALL SELECT 'x' || point_id, frame_index, 'added', 1 FROM seen WHERE k % 50 = 0 UNION ALL SELECT 'x' || point_id, frame_index, 'again', 3 FROM seen WHERE k % 100 = 0),
+fresh AS (SELECT point_id, arg_max({'f': frame_index, 't': text}, arrived) AS r FROM batch GROUP BY point_id)"""
+
+
+@query("upsert_points", f"WITH {V.POINTS}, {_UPSERT} SELECT point_id, r.f AS frame_index, r.t AS text FROM fresh UNION ALL SELECT point_id, frame_index, text FROM seen WHERE k % 5 <> 0")
 def upsert_points(spark, sf_dir):
-    old = V.points(spark, sf_dir).select("point_id", "frame_index", "text")
-    new = old.where("frame_index % 5 = 0").withColumn("text", F.concat(F.lit("new "), F.col("frame_index").cast("string")))
-    new = new.unionByName(old.where("frame_index % 50 = 0").withColumns({"point_id": F.concat(F.lit("x"), F.col("point_id")), "text": F.lit("added")}))
-    return P.upsert(old, new)
+    """A batch that replaces points, adds some, names some twice, and has frames that are null."""
+    k = F.col("k")
+    seen = V.points(spark, sf_dir).select("point_id", F.when(F.col("frame_index") % 7 != 0, F.col("frame_index")).alias("frame_index"), "text", F.col("frame_index").alias("k"))
+    text = lambda part, word, n: part.withColumns({"text": F.concat(F.lit(f"{word} "), k.cast("string")), "arrived": F.lit(n)})
+    add = lambda part, word, n: part.withColumns({"point_id": F.concat(F.lit("x"), F.col("point_id")), "text": F.lit(word), "arrived": F.lit(n)})
+    batch = text(seen.where(k % 5 == 0), "new", 1).unionByName(text(seen.where(k % 10 == 0), "newer", 2)).unionByName(add(seen.where(k % 50 == 0), "added", 1)).unionByName(add(seen.where(k % 100 == 0), "again", 3))
+    return P.upsert(seen, batch, order="arrived").select("point_id", "frame_index", "text")
 
 
 @query("merge_collections", f"WITH {V.POINTS}, m AS (SELECT *, 'v1' AS version FROM points WHERE collection = 'kf' UNION ALL SELECT *, 'v2' FROM points WHERE collection = 'cap') SELECT 'merged' AS collection, version, point_id AS original_id, {_uuid(X.OID, chr(118) + 'ersion || ' + repr('_') + ' || point_id')} AS point_id, video_id, frame_index FROM m")
