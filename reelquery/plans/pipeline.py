@@ -14,17 +14,20 @@ import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..config import Settings
-from ..functions.exprs import DNS, clean_text, uuid5
+from ..functions.exprs import clean_text
 from ..operators import keyframes as K
 from ..operators import segments as G
 from ..operators import store
 from ..operators import transcript as R
-from ..operators.slots import REGISTRY, apply
+from ..operators.slots import KINDS, REGISTRY, apply, check, register_stand_ins
 from ..sources import files
+from ..sources.shared import delete, exists, replace
 
 ALIASES = {
     "1": "segments", "vad": "segments", "1.5": "transcripts", "transcript": "transcripts", "2": "keyframes", "dino": "keyframes", "keyframe": "keyframes",
@@ -181,10 +184,11 @@ def _embedded(ctx: dict, videos: DataFrame) -> DataFrame:
 
 
 def _ingest(ctx: dict, points: DataFrame) -> DataFrame:
+    """Points with their ids, one of each; vectors of another size than the collection's (of the settings, if it is new) are errors."""
     p = store.with_ids(points.withColumn("collection", F.when(F.col("point_type") == "keyframe", "kf").otherwise("cap")))
-    # a transcript shares segment and frame with its segment's caption, and must not share its id
-    own = uuid5(DNS, F.concat_ws("_", "video_id", "segment_id", F.lit("tr"), F.coalesce(F.col("frame_index").cast("string"), F.lit("None"))))
-    return p.withColumn("point_id", F.when(F.col("point_type") == "transcript", own).otherwise(F.col("point_id")))
+    old = ctx["maybe"]("ingest")
+    size = (store.dimension(old) if old is not None else None) or ctx["settings"].vector_size
+    return store.check_dimension(store.distinct_by(p, "point_id"), size)
 
 
 def _video() -> Column:
@@ -196,7 +200,7 @@ def _segment() -> Column:
 
 
 def _point() -> Column:
-    return F.concat_ws("_", "video_id", "segment_id", "point_type", F.coalesce(F.col("frame_index").cast("string"), F.lit("None")))
+    return store.point_name(F.col("video_id"), F.col("segment_id"), F.col("frame_index"), F.col("point_type"))
 
 
 STAGES = [
@@ -209,28 +213,40 @@ STAGES = [
 ]
 
 
-def run(spark: SparkSession, videos: DataFrame, out: str, settings: Settings | None = None, stage: str | None = None, force: bool = False, strict: bool = False, batch_size: int | None = None, **tables: DataFrame) -> DataFrame:
-    """Runs all stages or one; returns the run log: a row a stage with status, rows, errors and seconds.
+def run(spark: SparkSession, videos: DataFrame, out: str, settings: Settings | None = None, stage: str | None = None, force: bool = False, strict: bool = False, batch_size: int | None = None, skip: tuple[str, ...] = (), cleanup: str | None = None, **tables: DataFrame) -> DataFrame:
+    """Runs all stages (None or "all"; not those in skip) or one; returns the run log: a row a stage with status, rows, errors and seconds.
 
     All stages are run for batch_size videos (of the settings, if None; 0 is all) before the next ones begin; one
-    stage alone takes all videos at once. An item (a video, a segment, a point) is done for a stage when the stage's
-    table holds good rows of it; only others are worked on, and their rows are appended. Failed rows go to
-    <stage>_errors; with strict they raise at the end of the stage. tables: speech (video_id, idx, start_sample,
-    end_sample), which stands for the vad slot where segments are cut, and in transcripts if there is no such slot.
+    stage alone takes all videos at once. Tables are kept by video. An item (a video, a segment, a point) is done for a stage when the
+    stage's table holds good rows of it; only others are worked on, and their rows are added. With force all items of the
+    given videos are worked on and their videos' rows replaced; other videos' rows stay. <stage>_errors holds the last error of
+    each item that has failed and not succeeded since; with strict any raises at the end of the stage. cleanup names the
+    folder of cut segments, <cleanup>/<video_id>/segments, whose videos are deleted when a batch is done. tables: speech
+    (video_id, idx, start_sample, end_sample), which stands for the vad slot where segments are cut, and in transcripts if
+    there is no such slot.
     """
     settings = settings or Settings()
     scratch = f"{out}/_work"
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{out}/{name}")
+        found = spark.read.parquet(f"{out}/{name}")
+        fields = [StructField("video_id", StringType()) if f.name == "video_id" else f for f in found.schema]  # ids like 007 stay texts
+        return spark.read.schema(StructType(fields)).parquet(f"{out}/{name}")
+
+    def filled(name: str) -> bool:
+        """Whether the stage has kept rows; a table by video without any has no files."""
+        try:
+            return bool(spark.read.parquet(f"{out}/{name}").columns)
+        except AnalysisException:
+            return False
 
     def keep(rows: DataFrame, name: str) -> DataFrame:
         """rows, written once: models aren't asked again when a result is used twice."""
         rows.write.mode("overwrite").parquet(f"{scratch}/{name}")
         return spark.read.schema(rows.schema).parquet(f"{scratch}/{name}")
 
-    ctx = {"spark": spark, "settings": settings, "read": read, "keep": keep, "maybe": lambda name: read(name) if _exists(spark, f"{out}/{name}") else None, **tables}
-    wanted = ALIASES.get(stage, stage)
+    ctx = {"spark": spark, "settings": settings, "read": read, "keep": keep, "maybe": lambda name: read(name) if filled(name) else None, **tables}
+    wanted = ALIASES.get(stage, stage) if stage != "all" else None
     if wanted and wanted not in {s.name for s in STAGES}:
         raise ValueError(f"unknown stage {stage}")
     chosen = []
@@ -238,6 +254,8 @@ def run(spark: SparkSession, videos: DataFrame, out: str, settings: Settings | N
         missing = [k for k in s.slots if k not in REGISTRY and not (k == "vad" and ctx.get("speech") is not None)]
         if wanted == s.name and missing:
             raise ValueError(f"stage {s.name} needs the slots {', '.join(missing)}")
+        if not wanted and s.name in skip:
+            continue
         if not wanted and missing:
             warnings.warn(f"stage {s.name} is left out: the slots {', '.join(missing)} are not registered", stacklevel=2)
         elif wanted in (None, s.name):
@@ -249,17 +267,16 @@ def run(spark: SparkSession, videos: DataFrame, out: str, settings: Settings | N
             began, status, n, bad = time.time(), "COMPLETED", 0, 0
             try:
                 work = s.work(ctx, part)
-                fresh = force and not number
-                if not force and _exists(spark, f"{out}/{s.name}"):
+                if not force and filled(s.name):
                     done = read(s.name).select(s.key().alias("_key"), F.lit(True).alias("valid"))
                     work = store.resume(work.withColumn("_key", s.key()), done, ["_key"]).drop("_key")
                 rows = s.run(ctx, work)
                 good, errors = files.split_errors(keep(rows, s.name)) if "error" in rows.columns else (rows, None)
-                good.write.mode("overwrite" if fresh else "append").parquet(f"{out}/{s.name}")
-                n = read(s.name).count()
+                # with force a video's rows give way to its new ones
+                (good.write.mode("overwrite" if force else "append").option("partitionOverwriteMode", "dynamic").partitionBy("video_id").parquet(f"{out}/{s.name}"))
+                n = read(s.name).count() if filled(s.name) else 0
                 if errors is not None:
-                    errors.write.mode("append" if number else "overwrite").parquet(f"{out}/{s.name}_errors")
-                    bad = read(f"{s.name}_errors").count()
+                    bad = _errors(spark, f"{out}/{s.name}_errors", part, errors)
                     if bad and strict:
                         raise RuntimeError(f"{bad} rows failed in {s.name}")
             except Exception as e:  # noqa: BLE001  the log says why, and a strict run ends
@@ -267,13 +284,24 @@ def run(spark: SparkSession, videos: DataFrame, out: str, settings: Settings | N
                 if strict:
                     raise
             finally:
-                _delete(spark, scratch)
-            _, before, *_, spent = log.get(s.name, (None, "COMPLETED", 0.0))
-            log[s.name] = (s.name, status if before == "COMPLETED" else before, n, bad, round(spent + time.time() - began, 3))
-    _delete(spark, f"{out}/_batches")
+                delete(spark, scratch)
+            _, before, _, failed, spent = log.get(s.name, (None, "COMPLETED", 0, 0, 0.0))
+            log[s.name] = (s.name, status if before == "COMPLETED" else before, n, failed + bad, round(spent + time.time() - began, 3))
+        if cleanup and all(status == "COMPLETED" for _, status, *_ in log.values()):
+            files.remove_segments(spark, cleanup, part)
+    delete(spark, f"{out}/_batches")
     return spark.createDataFrame(list(log.values()), "stage string, status string, row_count long, errors long, seconds double")
 
 
+def _errors(spark: SparkSession, path: str, videos: DataFrame, errors: DataFrame) -> int:
+    """Puts the errors of these videos in place of their old ones; how many they are."""
+    n = errors.count()
+    old = spark.read.parquet(path).join(videos.select("video_id"), "video_id", "left_anti") if exists(spark, path) else None
+    if n or old is not None:
+        replace(errors if old is None else old.unionByName(errors, allowMissingColumns=True), path)
+    return n
+
+
 def _batches(videos: DataFrame, size: int, spark: SparkSession, path: str):
     """The videos in their order, size at a time."""
     n = videos.count()
@@ -286,39 +314,37 @@ def _batches(videos: DataFrame, size: int, spark: SparkSession, path: str):
         yield numbered.where(F.col("batch_no") == k).drop("batch_no")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def main(argv: list[str] | None = None) -> None:
     a = argparse.ArgumentParser(description="staged ingest of videos")
     a.add_argument("raw_dir")
     a.add_argument("out")
     a.add_argument("--offset", type=int, default=0)
-    a.add_argument("--limit", type=int)
-    a.add_argument("--stage", choices=[s.name for s in STAGES] + list(ALIASES))
+    a.add_argument("--limit", type=int, help="0 or none: all")
+    a.add_argument("--stage", default="all", choices=["all"] + [s.name for s in STAGES] + list(ALIASES))
     a.add_argument("--slots", help="a module that registers slots when imported")
+    a.add_argument("--stand-ins", action="store_true", help="made-up captions, text vectors and lengths where no model is registered")
     a.add_argument("--speech", help="Parquet of speech regions: video_id, idx, start_sample, end_sample")
-    a.add_argument("--video-batch-size", type=int)
+    a.add_argument("--video-batch-size", "--batch-size", type=int)
+    a.add_argument("--no-transcript", "--skip-transcript", action="store_true")
+    a.add_argument("--cleanup-segments", metavar="DIR", help="delete the cut videos under DIR/<video_id>/segments when a batch is done")
     a.add_argument("--force", action="store_true")
     a.add_argument("--strict", action="store_true")
-    a.add_argument("--dry-run", action="store_true")
+    a.add_argument("--dry-run", action="store_true", help="list the videos, load every slot once, run nothing")
     args = a.parse_args(argv)
+    if args.stand_ins:
+        register_stand_ins()
     if args.slots:
         importlib.import_module(args.slots)
     spark = SparkSession.builder.appName("reelquery").getOrCreate()
     videos = files.discover(files.list_videos(spark, args.raw_dir), args.offset, args.limit)
     if args.dry_run:
         videos.explain("formatted")
+        print(videos.count(), "videos")
+        check(spark, KINDS).show(truncate=False)
         return
     tables = {"speech": spark.read.parquet(args.speech)} if args.speech else {}
-    run(spark, videos, args.out, Settings.from_env(), args.stage, args.force, args.strict, args.video_batch_size, **tables).show(truncate=False)
+    skip = ("transcripts",) if args.no_transcript else ()
+    run(spark, videos, args.out, Settings.from_env(), args.stage, args.force, args.strict, args.video_batch_size, skip, args.cleanup_segments, **tables).show(truncate=False)
 
 
 if __name__ == "__main__":

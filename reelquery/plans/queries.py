@@ -513,11 +513,16 @@ def json_props(spark, sf_dir):
     return V.table(spark, sf_dir, "events").groupBy("event_type").agg(F.sum(F.from_json("props", "k bigint")["k"]).alias("total"), F.count("*").alias("n"))
 
 
-@query("embed_text")
+@query("embed_text", r"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents),
+h AS (SELECT doc_id, ('0x' || substr(md5(w), 1, 8))::BIGINT AS h FROM w), b AS (SELECT doc_id, h % 64 AS k, sum(CASE WHEN h >= 2147483648 THEN 1 ELSE -1 END)::DOUBLE AS s FROM h GROUP BY ALL),
+n AS (SELECT doc_id, sqrt(sum(s * s)) AS n, max(s) FILTER (k = 0) AS s0, max(s) FILTER (k = 63) AS s63 FROM b GROUP BY doc_id)
+SELECT doc_id, 64 AS size, CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS norm, round(coalesce(s0 / nullif(n, 0), 0)::FLOAT::DOUBLE, 6) AS first, round(coalesce(s63 / nullif(n, 0), 0)::FLOAT::DOUBLE, 6) AS last FROM documents LEFT JOIN n USING (doc_id)""")
 def embed_text(spark, sf_dir):
-    from ..operators.slots import embed_texts
+    from ..operators.slots import TEXT_STAND_IN, embed_texts
 
-    return embed_texts(V.table(spark, sf_dir, "documents").select("doc_id", "text"), "text").select("doc_id", F.size("vector").alias("size"), F.round(X.l2norm(F.col("vector")), 6).alias("norm"))
+    out = embed_texts(V.table(spark, sf_dir, "documents").select("doc_id", "text"), "text", TEXT_STAND_IN)
+    part = lambda k: F.round(F.element_at("vector", k).cast("double"), 6)
+    return out.select("doc_id", F.size("vector").alias("size"), F.round(X.l2norm(F.col("vector")), 6).alias("norm"), part(1).alias("first"), part(-1).alias("last"))
 
 
 @query("live_turns", f"WITH {V.SENTENCES}, {_TURNS} SELECT segment_id, turn_no, arg_min(speaker, sent_no) AS speaker, min(start_sec) AS start, arg_max(end_sec, sent_no) AS \"end\", count(*) AS sentences FROM in_turns GROUP BY segment_id, turn_no")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..operators import search as S
-from ..operators.slots import embed_texts
+from ..operators.slots import embed_texts, register_stand_ins
 
 
 def encode(spark: SparkSession, texts: list[str]) -> list[list[float]]:
@@ -43,7 +44,13 @@ def main(argv: list[str] | None = None) -> None:
     a.add_argument("--mode", choices=["kis", "trake", "qa", "flat"], default="kis")
     a.add_argument("--top-k", type=int, default=10)
     a.add_argument("--video-id")
+    a.add_argument("--slots", help="a module that registers the slot text_encoder when imported")
+    a.add_argument("--stand-ins", action="store_true", help="hashed words in place of a text encoder")
     args = a.parse_args(argv)
+    if args.stand_ins:
+        register_stand_ins()
+    if args.slots:
+        importlib.import_module(args.slots)
     spark = SparkSession.builder.appName("reelquery-search").getOrCreate()
     search(spark.read.parquet(args.points), args.query, args.mode, args.top_k, args.video_id, Settings.from_env()).show(args.top_k, truncate=False)
 

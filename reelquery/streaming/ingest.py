@@ -26,14 +26,19 @@ def distinct_points(stream: DataFrame, at: str = "arrived", late: str = "1 hour"
     return stream.withWatermark(at, late).dropDuplicatesWithinWatermark(["point_id"])
 
 
-def live_turns(sentences: DataFrame, gap: float = 1.50) -> DataFrame:
+def live_turns(sentences: DataFrame, gap: float = 1.50, at: str | None = None, idle: str = "1 hour") -> DataFrame:
     """Turns as they grow (update mode): each batch gives the new state of the turns that it touches.
 
-    The state of a segment is its last turn. A segment's sentences must come in order from batch to batch; within
-    a batch they are sorted.
+    The state of a segment is its last turn. With `at`, a column of event times, it goes when the stream's times have passed
+    the segment's last one by `idle` twice, and a sentence that comes later is late; without, states of all segments are kept. A segment's sentences must come in order from batch to batch; within a batch they are sorted.
     """
 
+    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+
     def step(key, frames, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         turn = list(state.get) if state.exists else None
         rows = pd.concat(list(frames)).sort_values(["start_sec", "end_sec", "sent_no"])
         out = []
@@ -46,10 +51,15 @@ def live_turns(sentences: DataFrame, gap: float = 1.50) -> DataFrame:
                 turn = [turn[0] + 1 if turn else 0, r.speaker, r.start_sec, r.end_sec, 1]
         out.append((key[0], *turn))
         state.update(tuple(turn))
+        if at:
+            state.setTimeoutTimestamp(max(int(rows[at].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + idle_ms)
         yield pd.DataFrame(out, columns=["segment_id", "turn_no", "speaker", "start", "end", "sentences"])
 
-    keep = sentences.select("segment_id", "sent_no", "start_sec", "end_sec", "speaker")
-    return keep.groupBy("segment_id").applyInPandasWithState(step, TURN, STATE, "update", GroupStateTimeout.NoTimeout)
+    keep = sentences.select("segment_id", "sent_no", "start_sec", "end_sec", "speaker", *([at] if at else []))
+    if at:
+        keep = keep.withWatermark(at, idle)
+    timeout = GroupStateTimeout.EventTimeTimeout if at else GroupStateTimeout.NoTimeout
+    return keep.groupBy("segment_id").applyInPandasWithState(step, TURN, STATE, "update", timeout)
 
 
 def replay_turns(sentences: DataFrame, gap: float = 1.50) -> DataFrame:

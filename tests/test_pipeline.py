@@ -10,6 +10,7 @@ from reelquery.operators import slots
 from reelquery.plans import pipeline
 
 RATE = 16_000
+SMALL = Settings(vector_size=64)
 
 
 def vad(row):
@@ -50,6 +51,7 @@ def image_encoder(row):
 @pytest.fixture
 def models():
     before = dict(slots.REGISTRY)
+    slots.register_stand_ins()
     slots.register("vad", lambda: vad, "regions array<struct<start_sample: bigint, end_sample: bigint>>")
     slots.register("asr", lambda: asr, "text string, words array<struct<text: string, rel_start: double, rel_end: double>>, logps array<double>")
     slots.register("diarize", lambda: diarize, "turns array<struct<start_sec: double, end_sec: double, speaker: string>>")
@@ -67,7 +69,7 @@ def videos(spark, *names):
 
 def test_all_stages(spark, tmp_path, models):
     out = f"file://{tmp_path}/out"
-    log = {r.stage: (r.status, r.row_count, r.errors) for r in pipeline.run(spark, videos(spark, "a", "b"), out, Settings(embed_transcripts=True), batch_size=1).collect()}
+    log = {r.stage: (r.status, r.row_count, r.errors) for r in pipeline.run(spark, videos(spark, "a", "b"), out, Settings(embed_transcripts=True, vector_size=64), batch_size=1).collect()}
     assert log == {"segments": ("COMPLETED", 4, 0), "transcripts": ("COMPLETED", 4, 0), "keyframes": ("COMPLETED", 8, 0), "captions": ("COMPLETED", 4, 0), "embed": ("COMPLETED", 15, 0), "ingest": ("COMPLETED", 15, 0)}
     said = {r.segment_id: r for r in spark.read.parquet(f"{out}/transcripts").collect()}
     assert {k: r.full_text for k, r in said.items()} == {"a_seg000": "hello there.", "a_seg001": "hello there.", "b_seg000": "hello there.", "b_seg001": ""}
@@ -91,10 +93,10 @@ def test_failed_segments_are_tried_again(spark, tmp_path, models):
         return codec(row)
 
     slots.register("codec", lambda: broken, "frames array<struct<frame_idx: bigint, image: binary>>")
-    log = {r.stage: (r.row_count, r.errors) for r in pipeline.run(spark, videos(spark, "a"), out).collect()}
+    log = {r.stage: (r.row_count, r.errors) for r in pipeline.run(spark, videos(spark, "a"), out, SMALL).collect()}
     assert log["keyframes"] == (2, 1) and log["ingest"] == (4, 0)
     slots.register("codec", lambda: codec, "frames array<struct<frame_idx: bigint, image: binary>>")
-    log = {r.stage: (r.row_count, r.errors) for r in pipeline.run(spark, videos(spark, "a"), out).collect()}
+    log = {r.stage: (r.row_count, r.errors) for r in pipeline.run(spark, videos(spark, "a"), out, SMALL).collect()}
     assert log["keyframes"] == (4, 0) and log["transcripts"] == (2, 0) and log["ingest"] == (6, 0)
 
 
@@ -108,6 +110,83 @@ def test_stages_without_models_are_named(spark, tmp_path):
 def test_speech_table_stands_for_vad(spark, tmp_path, models):
     del slots.REGISTRY["vad"]
     speech = spark.createDataFrame([("a", 0, RATE, 3 * RATE), ("a", 1, 7 * RATE, 9 * RATE)], "video_id string, idx long, start_sample long, end_sample long")
-    pipeline.run(spark, videos(spark, "a"), f"file://{tmp_path}/out", strict=True, speech=speech)
+    pipeline.run(spark, videos(spark, "a"), f"file://{tmp_path}/out", SMALL, strict=True, speech=speech)
     got = {r.segment_id: (r.full_text, r.turns[0].start) for r in spark.read.parquet(f"file://{tmp_path}/out/transcripts").collect()}
     assert got == {"a_seg000": ("hello there.", 1.0), "a_seg001": ("hello there.", 2.0)}
+
+
+def test_force_replaces_its_own_videos_only(spark, tmp_path, models):
+    out = f"file://{tmp_path}/out"
+    pipeline.run(spark, videos(spark, "007", "b"), out, SMALL)
+    before = {r.video_id: r["count"] for r in spark.read.schema("video_id string, point_id string").parquet(f"{out}/ingest").groupBy("video_id").count().collect()}
+    log = {r.stage: (r.status, r.row_count) for r in pipeline.run(spark, videos(spark, "007"), out, SMALL, force=True).collect()}
+    after = {r.video_id: r["count"] for r in spark.read.schema("video_id string, point_id string").parquet(f"{out}/ingest").groupBy("video_id").count().collect()}
+    assert before == after and set(after) == {"007", "b"} and log["ingest"] == ("COMPLETED", sum(after.values()))
+
+
+def test_vectors_of_another_size_are_errors(spark, tmp_path, models):
+    out = f"file://{tmp_path}/out"
+    log = {r.stage: (r.status, r.row_count, r.errors) for r in pipeline.run(spark, videos(spark, "a"), out, Settings(vector_size=63)).collect()}
+    assert log["ingest"] == ("COMPLETED", 0, 6)
+    assert {r.error for r in spark.read.parquet(f"{out}/ingest_errors").collect()} == {"vector has dimension 64"}
+    log = {r.stage: (r.status, r.row_count, r.errors) for r in pipeline.run(spark, videos(spark, "a"), out, SMALL).collect()}
+    assert log["ingest"] == ("COMPLETED", 6, 0) and spark.read.parquet(f"{out}/ingest_errors").count() == 0
+
+
+def test_errors_of_other_videos_stay(spark, tmp_path, models):
+    out = f"file://{tmp_path}/out"
+
+    def broken(row):
+        raise ValueError("no frames")
+
+    slots.register("codec", lambda: broken, "frames array<struct<frame_idx: bigint, image: binary>>")
+    pipeline.run(spark, videos(spark, "a"), out, SMALL)
+    slots.register("codec", lambda: codec, "frames array<struct<frame_idx: bigint, image: binary>>")
+    pipeline.run(spark, videos(spark, "b"), out, SMALL)
+    assert {r.video_id for r in spark.read.parquet(f"{out}/keyframes_errors").collect()} == {"a"}
+    pipeline.run(spark, videos(spark, "a"), out, SMALL)
+    assert spark.read.parquet(f"{out}/keyframes_errors").count() == 0
+
+
+def test_skip_and_cleanup(spark, tmp_path, models):
+    cut = tmp_path / "cut"
+    for v in ("a", "z"):
+        (cut / v / "segments").mkdir(parents=True)
+        (cut / v / "segments" / "s.mp4").write_bytes(b"x")
+        (cut / v / "segments" / "s.m4a").write_bytes(b"x")
+    log = pipeline.run(spark, videos(spark, "a"), f"file://{tmp_path}/out", SMALL, stage="all", skip=("transcripts",), cleanup=f"file://{cut}").collect()
+    assert "transcripts" not in {r.stage for r in log}
+    assert sorted(str(p.relative_to(cut)) for p in cut.rglob("*.m*")) == ["a/segments/s.m4a", "z/segments/s.m4a", "z/segments/s.mp4"]
+
+
+def test_models_load_once_a_worker_and_take_batches(spark, tmp_path):
+    marks = tmp_path / "loads"
+    marks.mkdir()
+
+    def factory():
+        import os
+        import uuid
+
+        (marks / f"{os.getpid()}-{uuid.uuid4().hex}").touch()
+
+        def model(batch):
+            if 7 in batch.column("k").to_pylist():
+                raise ValueError("seven")
+            return {"caption": [str(x) for x in batch.column("k").to_pylist()]}
+
+        return model
+
+    slot = slots.Slot(factory, "caption string", batch=True)
+    rows = spark.range(40).withColumnRenamed("id", "k").repartition(8)
+    got = {r.k: (r.caption, r.error) for r in slots.apply("captioner", rows, slot).collect()}
+    assert got == {k: (str(k), None) if k != 7 else (None, "ValueError: seven") for k in range(40)}
+    slots.apply("captioner", rows, slot).collect()
+    loads = [p.name.split("-")[0] for p in marks.iterdir()]
+    assert len(loads) == len(set(loads))
+    before = dict(slots.REGISTRY)
+    try:
+        slots.REGISTRY["captioner"] = slot
+        assert {r.slot: r.status for r in slots.check(spark, ("captioner", "vad")).collect()} == {"captioner": "loaded", "vad": "not registered" if "vad" not in before else "loaded"}
+    finally:
+        slots.REGISTRY.clear()
+        slots.REGISTRY.update(before)

@@ -79,9 +79,11 @@ def test_equal_frames_make_no_sequence(spark):
 
 
 def test_search_by_text(spark):
-    from reelquery.operators.slots import embed_texts
+    from reelquery.operators.slots import embed_texts, register_stand_ins
     from reelquery.plans.search import search
 
+    register_stand_ins()
+
     rows = [("kf", "a", "keyframe", "v", "s1", 1, 0.0, 1.0, "a.jpg", None, "a red car"), ("cap", "b", "caption", "v", "s2", 9, 1.0, 2.0, None, "blue sea", "blue sea")]
     texts = spark.createDataFrame(rows, COLUMNS.replace("vector array<float>", "t string"))
     points = embed_texts(texts.drop("text"), "t").withColumnRenamed("text", "said").join(texts.select("point_id", "text"), "point_id").select(*[c.split()[0] for c in COLUMNS.split(", ")])
