@@ -14,15 +14,15 @@ more, the tail; every set is cut at the same places.
 2. Pairs: a list of ``SMALL`` members or fewer gives all its pairs. In a longer one every class is paired with
    the first and the last one by hash, which is in proportion to the list. A pair is checked only if the sizes, the
    places of the shared n-gram and the number of n-grams that the two prefixes share (summed over lists) allow 75 %.
-3. Vertical partitioning: the sets of candidate pairs are cut into fragments, and a fragment of a set is a row of its own.
-   The partial overlap of a pair is counted in each fragment apart, and the counts are summed per pair.
+3. Vertical partitioning: the sets of candidate pairs are cut into fragments. The partial overlap of a pair is counted
+   in each fragment apart, and the counts are summed per pair. A set's fragments travel as one row, so a pair is one row.
 4. Longer lists that still hold several components are put in ``TRIES`` new orders, and each class outside the
    list's largest component is paired with that component's next ones before and after. Last, every pair of
    different components that such a list still holds, in blocks of ``SALT`` rows. Pairs within a component need no
    check, so no link between components is lost.
 
 Null, empty and wordless texts have empty sets and link with nothing. Texts with fewer words than a shingle
-are one n-gram; very long texts are hashed whole, their sets being rows of at most a fragment each. Rows with equal
+are one n-gram; very long texts are hashed whole, a set being one row of arrays. Rows with equal
 ids are told apart by their sets; null ids rank below all others in the work and stay null. Ties (equal sizes, equal
 counts) are broken by hash and never change results. An empty table gives an empty result. Columns other than the two
 named aren't read. Two different sets are taken for one if all 64 bits of their hashes agree.
@@ -36,10 +36,10 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NO_ID, Scratch, connected_components, quoted, sliced, unused, words_of
+from .common import NO_ID, Scratch, connected_components, quoted, sliced, trim, unused, words_of
 
 WORDS, PERCENT = 5, 75
-FRAGMENTS, MOST_FREQUENT, FREQUENT_FROM, FLUSH = 4, 1 << 20, 2, 2_000_000
+FRAGMENTS, MOST_FREQUENT, FREQUENT_FROM, FLUSH, AT_ONCE = 4, 1 << 20, 2, 2_000_000, 50_000
 SMALL, SALT, HOT, BITMAP, TRIES = 8, 5_000, 5_000, 1 << 26, 8
 #: The low bits of a mark.
 MARK = (1 << 16) - 1
@@ -209,7 +209,19 @@ def _meet(posts: DataFrame, percent: int) -> DataFrame:
                 out.append(pa.RecordBatch.from_arrays([pa.array(np.repeat(key, c).view(np.int64)), pa.array(sig), pa.array(n), pa.array(place), pa.array(np.repeat(c, c))], schema=schema))
             return out
 
-        for b in batches:
+        def blocks():
+            """Batches put together, as each costs some calls."""
+            some, n = [], 0
+            for b in batches:
+                some.append(b)
+                n += len(b)
+                if n >= AT_ONCE:
+                    yield pa.Table.from_batches(some)
+                    some, n = [], 0
+            if some:
+                yield pa.Table.from_batches(some)
+
+        for b in blocks():
             rows = [b.column(k).to_numpy().astype(np.int64) for k in range(4)]
             if held:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
@@ -219,6 +231,7 @@ def _meet(posts: DataFrame, percent: int) -> DataFrame:
                 yield from done([x[:last] for x in rows])
         if held:
             yield from done(held)
+        trim()
 
     return dealt.mapInArrow(run, "gram long, sig long, n long, pos long, c long")
 
@@ -257,7 +270,7 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
 
 
 def _fragments(docs: DataFrame, ids: DataFrame, order, width: int) -> DataFrame:
-    """(sig, part, grams): the sets of the named rows, and of a few more, cut into fragments. Texts stay where they are: ids travel, as a bitmap."""
+    """(sig, parts): the sets of the named rows, and of a few more, cut into fragments. Texts stay where they are: ids travel, as a bitmap."""
     wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))  # BITMAP / 8 bytes
 
     def run(batches):
@@ -268,38 +281,34 @@ def _fragments(docs: DataFrame, ids: DataFrame, order, width: int) -> DataFrame:
             for k in (1, 2):
                 bit = b.column(k).to_numpy(zero_copy_only=False)
                 hit &= (wanted.value[bit >> 6] >> (bit & 63)) & 1 == 1
-            sigs, parts, cuts = [], [], []
+            sigs, parts = [], []
             for text in b.column(0).filter(pa.array(hit)).to_pylist():
                 s = shingles(text, width)
                 sig = signature(s)
                 if sig in seen:
                     continue
                 seen.add(sig)
-                for k, part in enumerate(ranks.cut(s)):
-                    if len(part):
-                        sigs.append(sig)
-                        parts.append(k)
-                        cuts.append(part.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(parts, pa.int32()), pa.array(cuts, pa.list_(pa.int64()))], ["sig", "part", "grams"])
+                sigs.append(sig)
+                parts.append([part.view(np.int64) for part in ranks.cut(s)])
+            yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.int64()), pa.array(parts, pa.list_(pa.list_(pa.int64())))], ["sig", "parts"])
 
-    return docs.select("text", *[x.alias(f"k{k}") for k, x in enumerate(_bits("id"))]).mapInArrow(run, "sig long, part int, grams array<long>")
+    return docs.select("text", *[x.alias(f"k{k}") for k, x in enumerate(_bits("id"))]).mapInArrow(run, "sig long, parts array<array<long>>")
 
 
 def _fetch(pairs: DataFrame, docs: DataFrame, classes: DataFrame, order, scratch: Scratch, name: str, width: int) -> DataFrame:
-    """The fragments of all classes in pairs, once each, bucketed by class and fragment: joins with pairs then move one side of the pairs only."""
+    """The fragments of all classes in pairs, once each, bucketed by class: joins with pairs then move one side of the pairs only."""
     sigs = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
     sets = _fragments(docs, classes.join(sigs, "sig").select("id"), order, width)
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return scratch.write_run(sets.repartition(buckets, "sig", "part").dropDuplicates(["sig", "part"]), f"sets{name}", ["sig", "part"], buckets)
+    return scratch.write_run(sets.repartition(buckets, "sig").dropDuplicates(["sig"]), f"sets{name}", ["sig"], buckets)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, scratch: Scratch, name: str, percent: int) -> DataFrame:
     """Pairs (a, b) whose overlaps, counted in each fragment and summed, are enough."""
-    side = lambda x: sets.select(F.col("sig").alias(x), "part", F.col("grams").alias(f"g{x}"))
-    cut = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS))).alias("part"))
-    partial = cut.join(side("a"), ["a", "part"]).join(side("b"), ["b", "part"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).cast("long").alias("o"))
-    summed = partial.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
-    return scratch.write(summed.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b"), f"links{name}")
+    side = lambda x: sets.select(F.col("sig").alias(x), F.col("parts").alias(f"p{x}"))
+    partial = F.zip_with("pa", "pb", lambda x, y: F.size(F.array_intersect(x, y)).cast("long"))
+    counted = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", F.aggregate(partial, F.lit(0).cast("long"), lambda s, x: s + x).alias("o"))
+    return scratch.write(counted.where(100 * F.col("o") >= percent * (F.col("na") + F.col("nb") - F.col("o"))).select("a", "b"), f"links{name}")
 
 
 def _unite(roots: DataFrame | None, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
