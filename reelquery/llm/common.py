@@ -23,8 +23,10 @@ BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Stands in for a null id, below every real one.
 NO_ID = -(2**63)
+#: Rows that the JVM sends to Python at once.
+BATCH_ROWS = 2_000
 #: What a Python worker takes at once, what its memos hold, and what an entry of a dict costs besides its key.
-SLICE_BYTES, MEMO_BYTES, ENTRY_BYTES = 8 << 20, 192 << 20, 120
+SLICE_BYTES, MEMO_BYTES, ENTRY_BYTES = 8 << 20, 96 << 20, 120
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,27 +75,29 @@ class Scratch:
         atexit.register(self.close)
 
     @contextlib.contextmanager
-    def _own_shuffles(self):
-        """What is written in here is never computed again, so its shuffle files go as soon as it is written."""
-        name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-        before = self.spark.conf.get(name, "false")
-        self.spark.conf.set(name, "true")
+    def _settings(self):
+        """What is written in here is never computed again, so its shuffle files go as soon as it is written; and texts go to Python few at a time."""
+        own = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}
+        before = {name: self.spark.conf.get(name) for name in own}
+        for name, value in own.items():
+            self.spark.conf.set(name, value)
         try:
             yield
         finally:
-            self.spark.conf.set(name, before)
+            for name, value in before.items():
+                self.spark.conf.set(name, value)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Writes df and returns it as read back."""
         to = f"{self.path}/{name}"
-        with self._own_shuffles():
+        with self._settings():
             df.write.mode("overwrite").parquet(to)
         return self.spark.read.schema(df.schema).parquet(to)
 
     def write_run(self, df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
         """Writes df, dealt by keys into as many partitions, bucketed and sorted by keys, so that joins and merges on them don't shuffle it again."""
         named = f"rq_{uuid.uuid4().hex}"
-        with self._own_shuffles():
+        with self._settings():
             (df.write.mode("overwrite").option("path", f"{self.path}/{name}").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(named))
         self.tables[name] = named
         return self.spark.table(named)

@@ -53,7 +53,7 @@ class WordIds:
     with one punctuation mark after a letter, both parts are looked up. At so many bytes, only words that were met again stay.
     """
 
-    def __init__(self, path: str, most: int = MEMO_BYTES):
+    def __init__(self, path: str, most: int = MEMO_BYTES * 5 // 4):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)

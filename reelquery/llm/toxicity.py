@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, fold, in_batches, quoted, within_chars
+from .common import Memo, fold, in_batches, quoted, trim, within_chars
 
 SAMPLE, SAMPLE_CHARS, HELD_OUT, THRESHOLD = 1_500, 30_000_000, 2, 0.3
 #: A term occurs in so many contexts at least, and in a larger sample in this share of toxic documents.
@@ -288,5 +288,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
         f = scorer(*learned)
         for texts in parts:
             yield texts.map(lambda t: f(t)[0]).astype(float)
+        del f
+        trim()
 
     return docs.where(F.coalesce(score(quoted(text_col)), F.lit(0.0)) < THRESHOLD)
