@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import contextlib
 import ctypes
+import gc
 import re
 import sys
 import tempfile
@@ -92,6 +93,7 @@ class Scratch:
         to = f"{self.path}/{name}"
         with self._settings():
             df.write.mode("overwrite").parquet(to)
+        gc.collect()  # plans that only cycles in Python still hold
         return self.spark.read.schema(df.schema).parquet(to)
 
     def write_run(self, df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:

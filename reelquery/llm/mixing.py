@@ -104,9 +104,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     return out.select(F.col("id").alias(id_col), F.col("source").alias(source_col), "n_tokens", "weight", "repetitions", F.col("epoch").cast("long").alias("epoch"), "block", F.least(F.col("_used") / F.col("repetitions"), F.lit(1.0)).alias("position"), F.lit(exponent).alias("exponent"), F.lit(met).alias("target_met"))
 
 
-def realise(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def realise(docs: DataFrame, id_col: str = "doc_id", ordered: bool = True, **options) -> DataFrame:
     """docs with each row as often as the mixture uses it, in the order of the mixture: by position, from partition to partition and within each.
 
+    ordered=False leaves the rows where they are, for readers that give them places of their own: a range sort of whole texts is saved.
+
     Of rows with equal ids each comes as often as the id is placed by one of them.
     """
     number, at = unused(docs, "epoch", "position")
@@ -116,4 +118,5 @@ def realise(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     placed = placed.groupBy(key).agg(F.collect_list(at).alias(at))
     both = docs.join(placed, quoted(id_col).eqNullSafe(F.col(key)))
     names = [quoted(c) for c in docs.columns]
-    return both.select(*names, F.explode(at).alias(at)).orderBy(at, F.xxhash64(quoted(id_col))).select(*names)
+    rows = both.select(*names, F.explode(at).alias(at))
+    return (rows.orderBy(at, F.xxhash64(quoted(id_col))) if ordered else rows).select(*names)

@@ -40,7 +40,7 @@ from .common import NO_ID, Scratch, connected_components, quoted, sliced, trim,
 
 WORDS, PERCENT = 5, 75
 FRAGMENTS, MOST_FREQUENT, FREQUENT_FROM, FLUSH, AT_ONCE = 4, 1 << 20, 2, 2_000_000, 50_000
-SMALL, SALT, HOT, BITMAP, TRIES = 8, 5_000, 5_000, 1 << 26, 8
+SMALL, SALT, HOT, BITMAP, TRIES = 8, 20_000, 5_000, 1 << 26, 4
 #: The low bits of a mark.
 MARK = (1 << 16) - 1
 _K, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -408,6 +408,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     scratch.drop("placed3", "groups3", "open3", "lists", "marks")
     roots = _unite(roots, _verify(rest, _fetch(rest, d, classes, order, scratch, "3", width), scratch, "3", percent), scratch, "3")
     mapped = scratch.write(classes.select("sig", "id").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig")), "mapped")
+    order.unpersist()
     scratch.drop("sets3", "classes", *(f"{kind}{k}" for kind in ("pairs", "links", "ends", "roots") for k in (1, 2, 3)))
     return rows, mapped, scratch
 

@@ -179,7 +179,11 @@ def learn(rows: list[tuple[str, int]]) -> tuple[list[str], list[str]]:
                 good.append((n, ratio(min(n, total[1]), clean[x]), x + "*"))
     terms = [f"{w}:{weight_of(r):.3f}" for _, r, w in sorted(good, key=lambda t: (-t[0], t[2])) if r >= MIN_RATIO]
     lexicon = Lexicon(terms)
-    return terms, sorted(w for w in df[0] if lexicon.match(w) == 1)
+    natural = sorted(w for w in df[0] if lexicon.match(w) == 1)
+    contexts.clear()
+    df[0].clear()
+    trim()  # the driver's memory goes back to the system
+    return terms, natural
 
 
 def weight_of(ratio: float) -> float:
