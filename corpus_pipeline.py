@@ -23,8 +23,8 @@ def drop_near_copies(spark, docs, sf_dir):
 
 
 def mix_sources(spark, docs, sf_dir):
-    """Each document once or more, as often as its source's weight asks for."""
-    return mixing.realise(docs)
+    """Each document once or more, as often as its source's weight asks for; packing gives the rows their places."""
+    return mixing.realise(docs, ordered=False)
 
 
 def pack_sequences(spark, docs, sf_dir):
