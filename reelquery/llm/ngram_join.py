@@ -40,7 +40,7 @@ from .common import NO_ID, Scratch, connected_components, quoted, sliced, trim,
 
 WORDS, PERCENT = 5, 75
 FRAGMENTS, MOST_FREQUENT, FREQUENT_FROM, FLUSH, AT_ONCE = 4, 1 << 20, 2, 2_000_000, 50_000
-SMALL, SALT, HOT, BITMAP, TRIES = 8, 20_000, 5_000, 1 << 26, 4
+SMALL, SALT, HOT, BITMAP, TRIES = 8, 20_000, 5_000, 1 << 26, 6
 #: The low bits of a mark.
 MARK = (1 << 16) - 1
 _K, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -330,10 +330,11 @@ def _open(lists: DataFrame, roots: DataFrame, scratch: Scratch, name: str) -> Da
     return scratch.write(_by_list(placed.drop("c"), groups), f"open{name}")
 
 
-def _possible(percent: int):
+def _possible(percent: int, m=None, p=None):
     """Whether sets of n and m n-grams can be alike if the first n-gram that they share stands at pos in one and at p in the other."""
-    most = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("p"))
-    return (100 + percent) * most >= percent * (F.col("n") + F.col("m"))
+    m, p = (F.col("m") if m is None else m), (F.col("p") if p is None else p)
+    most = F.least(F.col("n") - F.col("pos"), m - p)
+    return (100 + percent) * most >= percent * (F.col("n") + m)
 
 
 def _pairs(rows: DataFrame, percent: int) -> DataFrame:
@@ -391,7 +392,8 @@ def _components(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     for x in range(TRIES):
         turn = Window.partitionBy("gram", F.pmod("sig", F.ceil(F.col("c") / SALT))).orderBy(F.xxhash64(F.lit(x), "sig"), "sig")
         beside += [F.last(big, True).over(turn.rowsBetween(Window.unboundedPreceding, -1)), F.first(big, True).over(turn.rowsBetween(1, Window.unboundedFollowing))]
-    near = open_.select("*", F.array(*beside).alias("os")).where("root <> big").select("sig", "n", "pos", F.explode(F.array_distinct("os")).alias("o")).where("o is not null").select("sig", "n", "pos", "o.*")
+    near = open_.select("*", F.array_distinct(F.array(*beside)).alias("os")).where("root <> big")
+    near = near.select("sig", "n", "pos", F.explode(F.filter("os", lambda o: o.isNotNull() & _possible(percent, o["m"], o["p"]))).alias("o")).select("sig", "n", "pos", "o.*")
     have = sets.select("sig").distinct()
     near = _pairs(near, percent).join(first.select("a", "b"), ["a", "b"], "left_anti")
     near = near.join(have.withColumnRenamed("sig", "a"), "a", "left_semi").join(have.withColumnRenamed("sig", "b"), "b", "left_semi")
