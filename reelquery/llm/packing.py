@@ -16,15 +16,18 @@ needs no padding and keeps its length; all others are padded to max_len (padded_
 
 from __future__ import annotations
 
+import re
+import uuid
 import zlib
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ENTRY_BYTES, MEMO_BYTES, Scratch, in_batches, quoted
+from .common import ENTRY_BYTES, MEMO_BYTES, Scratch, kept, quoted, sliced
 
 #: A block of equal lengths holds about so many pieces, whose order is one task's work.
 MAX_LEN, END_ID, BLOCK_ROWS = 4096, 2, 1_000_000
@@ -45,11 +48,25 @@ def ends_in_letter(w: bytes) -> bool:
     return len(w) > 2 and w[-2] >= 128 and 0xC3 <= w[-3] <= 0xC8 and (c := w[-3:-1].decode()).isalpha() and c.islower()
 
 
+#: Words of letters that normalising keeps (a-z, U+00DF to U+00FF but for the division sign) and marks after them; or any other word.
+LETTERS = rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+"
+MARKS = rb"[!-&(-/:-@\[-`{-~]+"
+SIMPLE = re.compile(rb"^(?:(" + LETTERS + rb")(" + MARKS + rb")?|(.+))$", re.MULTILINE)
+#: How byte-level vocabularies write bytes: printable ones as they are, the others from U+0100 on.
+SHOWN = {b for part in ((33, 127), (161, 173), (174, 256)) for b in range(*part)}
+BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in SHOWN)}
+
+
+def byte_level(word: bytes) -> str:
+    return word.decode() if word.isascii() else word.decode("latin-1").translate(BYTE_CHARS)
+
+
 class WordIds:
     """Packed ids of words (ASCII white space apart), each tokenised once while it is kept.
 
-    The tokenizer never looks across white space. Letters-only words are tokenised many at a time, as each ends
-    with a token that ends a word; where the numbers don't agree, and for other words, one by one. Of a word
+    The tokenizer never looks across white space. Where its first steps are seen to leave words of plain letters whole and to part
+    ASCII marks from them, such words go straight to its model. Other letters-only words are tokenised many at a time, as each ends
+    with a token that ends a word; where the numbers don't agree, and for the rest, one by one. Of a word
     with one punctuation mark after a letter, both parts are looked up. At so many bytes, only words that were met again stay.
     """
 
@@ -57,12 +74,29 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
         self.ends = np.zeros(self.tok.get_vocab_size() + 1, bool)
+        self.packed = [k.to_bytes(4, "little") for k in range(len(self.ends))]
         for token, k in self.tok.get_vocab().items():
             self.ends[k] = token.endswith("</w>")
         self.known: dict[bytes, bytes] = {}
         self.again: set[bytes] = set()
         self.most, self.held = most, 0
+        self.simple = self._keeps_letters()
+
+    def _keeps_letters(self) -> bool:
+        """Whether normalising and splitting do to SIMPLE words what straight() takes for granted."""
+        if self.tok.normalizer is None or self.tok.pre_tokenizer is None:
+            return False
+        letters = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
+        marks = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
+        cases = [(letters, marks), (letters[::-1], marks[::-1])] + [(a, b) for a in letters for b in marks]
+        parts = [[p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(self.tok.normalizer.normalize_str(a + b))] for a, b in cases]
+        return all(p == [byte_level(a.encode()), b] for (a, b), p in zip(cases, parts, strict=True))
+
+    def straight(self, part: bytes) -> bytes:
+        """Ids of plain letters or of marks by the model alone."""
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(byte_level(part))])
 
     def learn(self, words: set[bytes]) -> None:
         known = self.known
@@ -75,8 +109,31 @@ class WordIds:
             self.again = set()
         new = words.difference(known)
         n = len(known)
-        self.again.update(words)
-        self.again.difference_update(new)
+        self.again.update(words.difference(new))
+        if self.simple:
+            new = self._learn_simple(new)
+        self._learn_rest(new)
+        added = len(known) - n
+        self.held += added * (ENTRY_BYTES + 66) + sum(map(len, islice(reversed(known), added))) + sum(map(len, islice(reversed(known.values()), added)))
+
+    def _learn_simple(self, new: set[bytes]) -> set[bytes]:
+        known, straight, rest = self.known, self.straight, set()
+        for letters, marks, other in SIMPLE.findall(b"\n".join(new)):
+            if other:
+                rest.add(other)
+                continue
+            ids = known.get(letters)
+            if ids is None:
+                ids = known[letters] = straight(letters)
+            if marks:
+                after = known.get(marks)
+                if after is None:
+                    after = known[marks] = straight(marks)
+                known[letters + marks] = ids + after
+        return rest
+
+    def _learn_rest(self, new: set[bytes]) -> None:
+        known = self.known
         marked = [w for w in new if w[-1] in b",.;:!?" and len(w) > 1 and (97 <= w[-2] <= 122 or ends_in_letter(w))]
         new.difference_update(marked)
         new.update({x for w in marked for x in (w[:-1], w[-1:])}.difference(known))
@@ -100,43 +157,69 @@ class WordIds:
                 known[w] = np.array(e.ids, "<u4").tobytes()
         for w in marked:
             known[w] = known[w[:-1]] + known[w[-1:]]
-        self.held += sum(map(self._size, islice(reversed(known.items()), len(known) - n)))
 
     @staticmethod
     def _size(entry: tuple[bytes, bytes]) -> int:
         return ENTRY_BYTES + 66 + len(entry[0]) + len(entry[1])
 
 
+def as_bytes(words: pa.Array) -> list[bytes]:
+    """Words without line breaks as Python bytes, by one join and one split."""
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")[0].as_py().encode().split(b"\n") if len(words) else []
+
+
 def piece_maker(path: str, max_len: int, end_id: int):
-    """Makes the function from texts to pieces; ids stay packed as little-endian 32-bit numbers."""
+    """Makes the function from a batch of texts to their pieces. Texts are split and told apart by Arrow, so Python sees each word once a batch."""
 
     def make():
         words_ids = WordIds(path)
         end = np.array([end_id], "<u4").tobytes()
 
-        def work(cols: dict) -> dict:
-            out: dict[str, list] = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
-            for k in range(0, len(cols["text"]), 500):  # so that few words are held at once
-                split = []
-                for text in cols["text"][k : k + 500]:
-                    raw = (text or "").encode()
-                    split.append((raw if b"<|" in raw else raw.lower()).split())
-                words_ids.learn(set().union(*split))
-                packed = words_ids.known
-                for doc_id, words in zip(cols["doc_id"][k : k + 500], split, strict=True):
-                    ids = b"".join(map(packed.__getitem__, words)) + end
-                    n = len(ids) // 4
-                    for at in range(0, n, max_len):
-                        piece = ids[at * 4 : (at + max_len) * 4]
-                        for name, value in zip(out, (doc_id, at, len(piece) // 4, zlib.crc32(piece), n), strict=True):
-                            out[name].append(value)
-            return out
+        def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+            text = pc.fill_null(batch.column("text"), "")
+            text = pc.if_else(pc.match_substring(text, "<|"), text, pc.ascii_lower(text))
+            split = pc.ascii_split_whitespace(text)  # with an empty word before blanks at the start and after those at the end
+            coded = split.flatten().dictionary_encode()
+            words = as_bytes(coded.dictionary)
+            words_ids.learn({w for w in words if w})
+            packed = [words_ids.known[w] if w else b"" for w in words]
+            sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+            firsts = np.cumsum(sizes) - sizes
+            word = coded.indices.to_numpy(zero_copy_only=False)
+            n = sizes[word]
+            stops = np.concatenate([[0], np.cumsum(n)])
+            at = np.repeat(firsts[word] - stops[:-1], n)
+            at += np.arange(len(at))
+            ids = np.frombuffer(b"".join(packed), "<u4")[at]
+            bounds = stops[split.offsets.to_numpy()].tolist()
+            row, rest = [], ([], [], [], [])
+            for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+                raw, tokens = ids[a:b].tobytes() + end, b - a + 1
+                for start in range(0, tokens, max_len):
+                    piece = raw[start * 4 : (start + max_len) * 4]
+                    row.append(k)
+                    for kept_values, value in zip(rest, (start, len(piece) // 4, zlib.crc32(piece), tokens), strict=True):
+                        kept_values.append(value)
+            doc_id = batch.column("doc_id").take(pa.array(row, pa.int64()))
+            return pa.RecordBatch.from_arrays([doc_id, *(pa.array(v, pa.int64()) for v in rest)], PIECE_COLUMNS)
 
         return work
 
     return make
 
 
+def tokenized(docs: DataFrame, path: str, max_len: int, end_id: int) -> DataFrame:
+    """The pieces of docs (doc_id, text); what a worker knows of words stays with it between its tasks."""
+    make, key = piece_maker(path, max_len, end_id), uuid.uuid4().hex
+
+    def run(batches):
+        work = kept(key, make)
+        for batch in sliced(batches, 2000):
+            yield work(batch)
+
+    return docs.select("doc_id", "text").mapInArrow(run, PIECE)
+
+
 def shortest_pack_first(histogram: dict[int, int], max_len: int) -> tuple[np.ndarray, int]:
     """Slots as rows (length, first rank, first sequence, offset), sorted; and the number of sequences.
 
@@ -216,5 +299,5 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     """One row a piece: where it comes from and where it lies."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     d = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).alias("text"))
-    pieces = scratch.write(in_batches(d, piece_maker(tokenizer or default_tokenizer(), max_len, end_id), PIECE), "pieces")
+    pieces = scratch.write(tokenized(d, tokenizer or default_tokenizer(), max_len, end_id), "pieces")
     return pack_pieces(pieces, max_len)

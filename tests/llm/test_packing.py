@@ -1,7 +1,11 @@
 """Packing: the whole query against the tokenizer and the lengths; hot lengths; memory by bytes."""
 
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+
 from reelquery.llm import packing
 from reelquery.llm.common import Memo, Scratch
 
@@ -63,3 +67,27 @@ def test_memos_are_kept_by_bytes():
     for k in range(200):
         assert memo[f"{k}" + "z" * 50_000] == 50_000 + len(str(k)) and memo["often"] == 5
     assert sum(map(len, memo)) + sum(map(len, memo.older)) <= 1.2 * (1 << 20) and made.count("often") <= 2
+
+
+def test_plain_words_go_straight_to_the_model():
+    """Every text has the ids that the tokenizer gives it, whichever way its words take."""
+    import random
+
+    rnd = random.Random(5)
+    signs = "abcdeABCZßéñœÿ÷Éıſǆ 's't́​,.;!?$*&%|<>_`\"09٣½²λΣσς中文字 \t\n\x0b\x0c\r\x1c\x85 　😀Ñ-"
+    texts = [None, "", "   ", " a ", "<|endoftext|> Ab", "a<|endoftext|>B", "ab's", "l'été,", "a''s", "É!!", "ab " * 9000]
+    texts += ["".join(rnd.choice(signs) for _ in range(rnd.randrange(1, 60))) for _ in range(1500)]
+    texts += [("".join(rnd.choice("abcdehéèüßñ") for _ in range(rnd.randrange(1, 9))) + rnd.choice(["", "!!!", "***", ",", "'", "'s", ".'"]) + " ") * 2 for _ in range(1500)]
+    make = packing.piece_maker(packing.default_tokenizer(), packing.MAX_LEN, packing.END_ID)
+    got = defaultdict(list)
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    for r in make()(batch).to_pylist():
+        got[r["doc_id"]].append(r)
+    words = packing.WordIds(packing.default_tokenizer())
+    assert words.simple
+    for k, text in enumerate(texts):
+        ids = words.tok.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
+        cut = [ids[at : at + packing.MAX_LEN] for at in range(0, len(ids), packing.MAX_LEN)]
+        assert [(r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in got[k]] == [
+            (packing.MAX_LEN * n, len(c), zlib.crc32(np.array(c, "<u4").tobytes()), len(ids)) for n, c in enumerate(cut)
+        ]
