@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,19 +77,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     """One row a placement: id, source, n_tokens, weight, repetitions, epoch, block, position, exponent, target_met."""
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     d = scratch.write(docs.select(quoted(id_col).alias("id"), quoted(source_col).alias("source"), (tokens if tokens is not None else word_count(quoted(text_col))).alias("n_tokens")), "docs")
-    sources = d.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")).orderBy("source").limit(MOST_SOURCES + 1).collect()
+    sources = d.groupBy("source").agg(F.sum("n_tokens").alias("t"), F.count("*").alias("n")).orderBy("source").limit(MOST_SOURCES + 1).toArrow()
     if len(sources) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
-    kind = d.schema["source"].dataType.simpleString()
-    schema = f"_source {kind}, weight double, repetitions double, _t long, _blocks long"
-    exponent, met = 1.0, True
-    if sources:
-        exponent, weights, reps = solve([float(r.t) for r in sources], budget, target, repeats)
-        met = entropy(weights) <= target * math.log(max(2, sum(1 for r in sources if r.t))) + 1e-9 and max(reps) <= repeats + 1e-9
-        rows = [(r.source, w, x, r.t, -(-r.n // BLOCK)) for r, w, x in zip(sources, weights, reps, strict=True)]
-    else:
-        rows = []
-    plan = F.broadcast(spark.createDataFrame(rows, schema))  # MOST_SOURCES rows at most
+    totals, counts = (sources.column(k).to_pylist() for k in ("t", "n"))
+    exponent, met, weights, reps = 1.0, True, [], []
+    if totals:
+        exponent, weights, reps = solve([float(t) for t in totals], budget, target, repeats)
+        met = entropy(weights) <= target * math.log(max(2, sum(1 for t in totals if t))) + 1e-9 and max(reps) <= repeats + 1e-9
+    rows = pa.table({"_source": sources.column("source"), "weight": pa.array(weights, pa.float64()), "repetitions": pa.array(reps, pa.float64()), "_t": sources.column("t"), "_blocks": pa.array([-(-n // BLOCK) for n in counts], pa.int64())})
+    plan = F.broadcast(spark.createDataFrame(rows))  # MOST_SOURCES rows at most; from Arrow, as a list would start Python workers of its own
     d = d.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "id"), F.col("_blocks")))
     epochs = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("repetitions") - 1e-9), F.lit(1)).cast("int") - 1)).alias("epoch")
     blocks = d.groupBy("source", "block").agg(F.sum("n_tokens").alias("_bt"), F.first("_t").alias("_t"), F.first("repetitions").alias("_r")).select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("_r") - 1e-9), F.lit(1)).cast("int") - 1)).alias("epoch"))

@@ -31,6 +31,8 @@ from .common import ENTRY_BYTES, MEMO_BYTES, Scratch, kept, quoted, sliced
 
 #: A block of equal lengths holds about so many pieces, whose order is one task's work.
 MAX_LEN, END_ID, BLOCK_ROWS = 4096, 2, 1_000_000
+#: What a worker's known words hold, and what it tokenises at once; arrays of its ids take some 15 times that.
+WORDS_BYTES, TEXT_ROWS, TEXT_BYTES = MEMO_BYTES // 2, 500, 2 << 20
 #: Bound of the slot table that is sent to executors: 4 numbers a row.
 MOST_SLOTS = 2_000_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -70,7 +72,7 @@ class WordIds:
     with one punctuation mark after a letter, both parts are looked up. At so many bytes, only words that were met again stay.
     """
 
-    def __init__(self, path: str, most: int = MEMO_BYTES * 5 // 4):
+    def __init__(self, path: str, most: int = WORDS_BYTES):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -214,7 +216,7 @@ def tokenized(docs: DataFrame, path: str, max_len: int, end_id: int) -> DataFram
 
     def run(batches):
         work = kept(key, make)
-        for batch in sliced(batches, 2000):
+        for batch in sliced(batches, TEXT_ROWS, TEXT_BYTES):
             yield work(batch)
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECE)
@@ -271,7 +273,8 @@ def pack_pieces(pieces: DataFrame, max_len: int = MAX_LEN, block_rows: int = BLO
             used[sequence] += length
         ends = np.array([used[s] for s in slots[:, 2].tolist()])
     sent = spark.sparkContext.broadcast((slots, ends))
-    many = F.broadcast(spark.createDataFrame([(length, -(-n // block_rows)) for length, n in histogram.items()], "length long, _blocks long"))  # max_len rows at most
+    blocks = pa.table({"length": pa.array(histogram.keys(), pa.int64()), "_blocks": pa.array((-(-n // block_rows) for n in histogram.values()), pa.int64())})
+    many = F.broadcast(spark.createDataFrame(blocks))  # max_len rows at most; from Arrow, as a list would start Python workers of its own
     # blocks by the place of a row in its file, so that equal rows don't share one
     at = F.xxhash64(F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1), "_metadata.row_index")
     p = pieces.select("*", at.alias("_at")).join(many, "length").withColumn("_b", F.pmod("_at", "_blocks"))

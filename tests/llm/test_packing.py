@@ -91,3 +91,39 @@ def test_plain_words_go_straight_to_the_model():
         assert [(r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in got[k]] == [
             (packing.MAX_LEN * n, len(c), zlib.crc32(np.array(c, "<u4").tobytes()), len(ids)) for n, c in enumerate(cut)
         ]
+
+
+def test_a_worker_holds_little():
+    """Arrays of ids and known words stay small beside an executor's heap, whatever the batch."""
+    import tracemalloc
+
+    class Caught:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    def batches():
+        for b in range(6):
+            texts = [" ".join(f"{chr(97 + k % 26)}w{b}x{k}y{j}" for j in range(60)) + " of the" * 500 for k in range(1000)]
+            yield pa.record_batch({"doc_id": pa.array(range(1000), pa.int64()), "text": pa.array(texts, pa.string())})
+
+    run = packing.tokenized(Caught(), packing.default_tokenizer(), packing.MAX_LEN, packing.END_ID)
+    tracemalloc.start()
+    try:
+        assert sum(len(b) for b in run(batches())) == 6000
+        assert tracemalloc.get_traced_memory()[1] < 130e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_small_tables_start_no_python_workers(spark):
+    """A list given to createDataFrame passes through Python workers of another kind, with a daemon of their own."""
+    from reelquery.llm import mixing
+
+    pieces = Scratch(spark).write(spark.createDataFrame([(1, 0, 64, 7, 64)], packing.PIECE), "pieces")
+    docs = Scratch(spark).write(spark.createDataFrame([(1, "a", "x y")], "doc_id long, source string, text string"), "docs")
+    for df in (packing.pack_pieces(pieces, 64), mixing.mix(docs)):
+        assert "ExistingRDD" not in df._jdf.queryExecution().toString()
+        assert df.count() == 1
