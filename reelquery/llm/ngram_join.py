@@ -40,7 +40,7 @@ from .common import NO_ID, Scratch, connected_components, quoted, sliced, trim,
 
 WORDS, PERCENT = 5, 75
 FRAGMENTS, MOST_FREQUENT, FREQUENT_FROM, FLUSH, AT_ONCE = 4, 1 << 20, 2, 2_000_000, 50_000
-SMALL, SALT, HOT, BITMAP, TRIES = 8, 20_000, 5_000, 1 << 26, 6
+SMALL, SALT, HOT, BITMAP, TRIES = 8, 20_000, 5_000, 1 << 26, 12
 #: The low bits of a mark.
 MARK = (1 << 16) - 1
 _K, _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
